@@ -403,7 +403,7 @@ SELECT *, CASE WHEN is_object THEN CAST(payload_id AS VARCHAR) END AS source_job
               '"description_text":' || CAST(to_json(description_text) AS VARCHAR),
               '"html_size":' || n_chars, '"job_id":' || payload_id,
               '"location":' || CAST(to_json(location) AS VARCHAR),
-              '"title":' || CAST(to_json(title) AS VARCHAR)], x -> x IS NOT NULL
+              '"title":' || CAST(to_json(title) AS VARCHAR)], lambda x: x IS NOT NULL
                 AND NOT ends_with(x, ':null')), ',')
             || '}' ELSE '[1,2]' END AS canonical,
        CASE WHEN coalesce(source_name, '') = '' THEN 'missing source_name'
@@ -467,7 +467,7 @@ def sql_country(location: str) -> str:
     stripped = f"regexp_replace({location}, '^{SPACES}+|{SPACES}+$', '', 'g')"
     part = (
         f"list_filter(list_transform(string_split({stripped}, ','), "
-        f"p -> regexp_replace(p, '^{SPACES}+|{SPACES}+$', '', 'g')), p -> p <> '')[-1]"
+        f"lambda p: regexp_replace(p, '^{SPACES}+|{SPACES}+$', '', 'g')), lambda p: p <> '')[-1]"
     )
     metros = " OR ".join(f"contains(lower({stripped}), {quote(m)})" for m in V.US_METRO_SIGNALS)
     return f"""CASE WHEN {location} IS NULL OR {stripped} = '' THEN NULL

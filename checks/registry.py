@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["checks.star"]
+MODULES = ["checks.star", "checks.docs"]
 
 
 def _modules():
