@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["checks.star", "checks.docs"]
+MODULES = ["checks.star", "checks.docs", "checks.vocab"]
 
 
 def _modules():

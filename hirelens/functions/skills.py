@@ -32,9 +32,10 @@ def normalize_category(name: Column, category: Column) -> Column:
 
 
 def is_rejected(name: Column, strict: bool = False) -> Column:
+    """Vague, too long or too short, for a name that is already collapsed."""
     rejected = [r.lower() if strict else r for r in V.REJECTED_SKILLS]
     return (
-        lookup_key(name).isin(rejected)
+        F.lower(name).isin(rejected)
         | (F.length(name) > V.MAX_SKILL_LENGTH)
         | ((F.length(name) < 2) & (name != V.SINGLE_LETTER_SKILL))
     )
@@ -73,19 +74,10 @@ def word_tokens(text: Column) -> Column:
     )
 
 
-def ngrams(tokens: Column, sizes: Sequence[int]) -> Column:
-    """All token runs of the given lengths joined by blanks, distinct."""
-    runs = []
-    for n in sizes:
-        if n == 1:
-            runs.append(tokens)
-        else:
-            starts = F.when(
-                F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-            ).otherwise(F.array().cast("array<int>"))
-            runs.append(
-                F.transform(
-                    starts, lambda i, n=n: F.array_join(F.slice(tokens, i, F.lit(n)), " ")
-                )
-            )
-    return F.array_distinct(F.concat(*runs))
+def next_runs(runs: Column, tokens: Column, n: int) -> Column:
+    """Runs of n tokens from the runs of n-1: each is joined with the token after it.
+
+    Runs that would pass the end are NULL. One linear pass, no indexing.
+    """
+    following = F.slice(tokens, F.lit(n), F.greatest(F.size(tokens), F.lit(0)))
+    return F.zip_with(runs, following, lambda run, token: F.concat(run, F.lit(" "), token))

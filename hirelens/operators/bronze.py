@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelens import schemas
 from hirelens.functions import payload
+from hirelens.functions.once import with_computed
 from hirelens.operators.keyed import assign_ids, largest_id
 
 KEY = ["source_name", "source_job_id"]
@@ -27,13 +28,14 @@ def with_keys(records: DataFrame) -> DataFrame:
 
 def with_reject_reason(records: DataFrame) -> DataFrame:
     """Add source_job_id and the first validation message, NULL for a good record."""
-    parsed = records.withColumn("_payload", payload.parse(F.col("raw_payload")))
+    parsed = with_computed(records, {"_payload": payload.parse(F.col("raw_payload"))})
     is_object = F.col("raw_payload").rlike(r"^[ \t\r\n]*\{") & F.col("_payload").isNotNull()
-    keyed = parsed.withColumns(
+    keyed = with_computed(
+        parsed,
         {
             "source_job_id": payload.field(F.col("_payload"), "job_id"),
             "_is_object": F.coalesce(is_object, F.lit(False)),
-        }
+        },
     )
     reason = (
         F.when(F.coalesce("source_name", F.lit("")) == "", MISSING_SOURCE)

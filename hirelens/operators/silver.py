@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
 from hirelens.functions import payload
+from hirelens.functions.once import with_computed
 from hirelens.functions.location import parse_country, remote_text, remote_type
 from hirelens.functions.text import clean_text
 from hirelens.operators.keyed import assign_ids, largest_id, last_per_key, upsert
@@ -41,7 +42,7 @@ def project_payload(bronze: DataFrame, criteria_fallback: bool = False) -> DataF
     ``criteria_fallback`` the four criteria columns fall back to the nested
     criteria object, where scraped pages keep them.
     """
-    parsed = bronze.withColumn("_payload", payload.parse(F.col("raw_payload")))
+    parsed = with_computed(bronze, {"_payload": payload.parse(F.col("raw_payload"))})
     source = F.col("_payload")
 
     def value(column: str, key: str) -> Column:
@@ -52,16 +53,15 @@ def project_payload(bronze: DataFrame, criteria_fallback: bool = False) -> DataF
 
     cleaned = {column: value(column, key) for column, key in CLEANED.items()}
     is_object = F.col("raw_payload").rlike(r"^[ \t\r\n]*\{") & source.isNotNull()
-    return parsed.select(
-        *[c for c in ("raw_job_id", "pipeline_run_id", "scraped_at") if c in bronze.columns],
-        *[
-            clean_text(F.col(c)).alias(c)
-            for c in ("source_name", "source_job_id", "source_url")
-        ],
-        *[text.alias(column) for column, text in cleaned.items()],
-        payload.field(source, "description_html").alias("description_html"),
-        F.coalesce(is_object, F.lit(False)).alias("_is_object"),
-    )
+    kept = [c for c in ("raw_job_id", "pipeline_run_id", "scraped_at") if c in bronze.columns]
+    keys = {c: clean_text(F.col(c)) for c in ("source_name", "source_job_id", "source_url")}
+    computed = {
+        **keys,
+        **cleaned,
+        "description_html": payload.field(source, "description_html"),
+        "_is_object": F.coalesce(is_object, F.lit(False)),
+    }
+    return with_computed(parsed, computed).select(*kept, *computed)
 
 
 def silver_candidates(bronze: DataFrame, criteria_fallback: bool = False) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.functions import payload
+from hirelens.functions.once import with_computed
 from hirelens.functions.skills import (
     is_rejected,
     is_safe_alias,
-    ngrams,
+    next_runs,
     normalize_category,
     normalize_name,
     strip_fences,
@@ -53,12 +54,14 @@ def parse_responses(responses: DataFrame) -> DataFrame:
 
     A missing or null list is empty; anything but a list fails the job.
     """
-    bare = responses.withColumn("_bare", strip_fences(F.col("response_text")))
-    parsed = bare.withColumn("_json", payload.parse(F.col("_bare"))).withColumns(
+    bare = with_computed(responses, {"_bare": strip_fences(F.col("response_text"))})
+    parsed = with_computed(bare, {"_json": payload.parse(F.col("_bare"))})
+    parsed = with_computed(
+        parsed,
         {
             "_list": payload.field(F.col("_json"), "skills", "array<variant>"),
             "_skills": payload.field(F.col("_json"), "skills", "variant"),
-        }
+        },
     )
     is_object = F.col("_json").isNotNull() & F.col("_bare").startswith("{")
     empty = F.col("_skills").isNull() | F.is_variant_null("_skills")
@@ -73,31 +76,25 @@ def parse_responses(responses: DataFrame) -> DataFrame:
 
 def response_items(parsed: DataFrame, strict_reject: bool = False) -> DataFrame:
     """Validated, normalised skills of the good responses, one row per list item."""
-    items = parsed.filter(F.col("failure").isNull()).select(
-        "job_id", F.posexplode("skill_list").alias("position", "_item")
-    )
+    items = parsed.select(
+        "job_id", F.posexplode_outer("skill_list").alias("position", "_item")
+    ).filter(F.col("position").isNotNull())  # failed responses have no list
     item = F.col("_item")
-    read = items.select(
-        "job_id",
-        "position",
-        payload.field(item, "skill_name").alias("_name"),
-        payload.field(item, "skill_category").alias("_category"),
-        payload.field(item, "raw_mention").alias("_mention"),
-        payload.field(item, "confidence_score").alias("_score"),
-        payload.field(item, "confidence_score", "double").alias("_number"),
-    )
-    named = read.withColumn("skill_name", normalize_name(F.col("_name")))
+    name = normalize_name(payload.field(item, "skill_name"))
+    named = with_computed(items, {"skill_name": name})
     kept = named.filter(
         (F.col("skill_name") != "") & ~is_rejected(F.col("skill_name"), strict_reject)
     )
-    mention = blank_if_null(F.col("_mention"))
-    number = F.col("_number")
+    mention = blank_if_null(payload.field(item, "raw_mention"))
+    number = payload.field(item, "confidence_score", "double")
     score = F.when((number >= 0) & (number <= 1) & ~F.isnan(number), number)
     return kept.select(
         "job_id",
         "position",
         "skill_name",
-        normalize_category(F.col("skill_name"), F.col("_category")).alias("skill_category"),
+        normalize_category(
+            F.col("skill_name"), payload.field(item, "skill_category")
+        ).alias("skill_category"),
         F.when(mention != "", mention).otherwise(F.col("skill_name")).alias("raw_mention"),
         score.alias("confidence_score"),
     )
@@ -131,10 +128,22 @@ def extraction_report(parsed: DataFrame, extracted: DataFrame) -> DataFrame:
 # --- dictionary extraction ---------------------------------------------------
 
 
-def _phrases(texts: DataFrame, sizes: list[int]) -> DataFrame:
-    words = texts.withColumn("_words", word_tokens(F.col("text")))
-    return words.withColumn("_phrases", ngrams(F.col("_words"), sizes)).select(
-        "job_id", "_phrases"
+def _phrases(texts: DataFrame, sizes: list[int], known: list[str] | None) -> DataFrame:
+    """The text's distinct runs of words of the given lengths, one row each;
+    with a list of known phrases only those."""
+    rows = with_computed(texts.select("job_id", "text"), {"_run1": word_tokens(F.col("text"))})
+    for n in range(2, max(sizes) + 1):
+        runs = next_runs(F.col(f"_run{n - 1}"), F.col("_run1"), n)
+        rows = with_computed(rows.drop("text"), {f"_run{n}": runs})
+
+    def kept(n: int):
+        if known is None:
+            return F.array_distinct(F.array_compact(f"_run{n}"))
+        return F.filter(f"_run{n}", lambda run: run.isin(known))
+
+    found = F.array_distinct(F.concat(*[kept(n) for n in sizes]))
+    return rows.select("job_id", F.explode_outer(found).alias("phrase")).filter(
+        F.col("phrase").isNotNull()
     )
 
 
@@ -165,15 +174,10 @@ def extract_by_dictionary(
         # a word that cannot occur keeps the plan valid for an empty dictionary
         sizes = sorted({row["words"] for row in known}) or [1]
         phrases = [row["phrase"] for row in known] or [""]
-        matched = _phrases(texts, sizes).select(
-            "job_id",
-            F.explode(F.filter("_phrases", lambda p: p.isin(phrases))).alias("phrase"),
-        )
+        matched = _phrases(texts, sizes, phrases)
     else:
         longest = dictionary.agg(F.max("words")).first()[0]
-        matched = _phrases(texts, list(range(1, longest + 1))).select(
-            "job_id", F.explode("_phrases").alias("phrase")
-        )
+        matched = _phrases(texts, list(range(1, longest + 1)), None)
     found = matched.join(dictionary.select(owner, "phrase"), "phrase")
     return found.groupBy("job_id", owner).agg(F.min("phrase").alias("raw_mention"))
 
