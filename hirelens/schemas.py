@@ -3,8 +3,22 @@
 from pyspark.sql import types as T
 
 
+TYPES = {
+    "STRING": T.StringType(),
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "BOOLEAN": T.BooleanType(),
+    "TIMESTAMP": T.TimestampType(),
+    "DECIMAL(5,4)": T.DecimalType(5, 4),
+    "DECIMAL(5,2)": T.DecimalType(5, 2),
+    "MAP<STRING,STRING>": T.MapType(T.StringType(), T.StringType()),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(spec.split()))
+    """A row type from "name TYPE, ..."; needs no running session."""
+    columns = [part.split() for part in spec.replace("\n", " ").split(", ")]
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in columns])
 
 
 RAW_RECORD = _struct(
@@ -54,11 +68,11 @@ JOB_ANALYSIS = _struct(
        exclusion_reason STRING, analyzed_at TIMESTAMP, updated_at TIMESTAMP"""
 )
 
+SEARCH = _struct("name STRING, keywords STRING, max_urls INT")
 SEARCH_CONFIG = _struct(
     """location STRING, max_urls_per_search INT, offset_step INT, max_pages INT,
-       delay_seconds INT, max_consecutive_no_new INT, output_dir STRING,
-       searches ARRAY<STRUCT<name: STRING, keywords: STRING, max_urls: INT>>"""
-)
+       delay_seconds INT, max_consecutive_no_new INT, output_dir STRING"""
+).add("searches", T.ArrayType(SEARCH))
 
 PAGE_PAYLOAD = _struct(
     """job_id STRING, title STRING, company STRING, location STRING,
