@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
+from hirelens.session import spread
 
 VIEWS: dict[str, str] = {}
 
@@ -18,6 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """A table of long texts, cut to the columns at hand, shared among the cores."""
+    return spread(table(spark, folder, name).select(*columns))
+
+
 def sql(body: str, *views: str) -> str:
     """A statement with the CTEs it needs, in dependency order."""
     ordered: list[str] = []
@@ -146,6 +152,11 @@ SELECT o_orderkey AS job_id, o_orderkey AS raw_job_id, o_custkey AS pipeline_run
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
 
+def job_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The keys of the jobs: every order has its customer and nation."""
+    return table(spark, folder, "orders").select(F.col("o_orderkey").alias("job_id"))
+
+
 def analysis(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     excluded = F.col("o_orderstatus") == "P"
@@ -331,7 +342,7 @@ INDUSTRIES = ["Software", None, "Business Intelligence", "Staffing"]
 def doc_jobs(spark: SparkSession, folder: str) -> DataFrame:
     """One posting per document: its whole text with a phrase at the end."""
     i = F.col("doc_id")
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder, "documents", "doc_id", "source", "text").select(
         i.alias("job_id"),
         F.col("source").alias("source_name"),
         i.cast("string").alias("source_job_id"),
@@ -372,7 +383,8 @@ def raw_records(spark: SparkSession, folder: str) -> DataFrame:
             F.col("n_chars").alias("html_size"),
         )
     )
-    return table(spark, folder, "documents").select(
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    return texts(spark, folder, "documents", *columns).select(
         i.alias("position"),
         F.when((F.col("lang") == "es") & (F.col("n_chars") < 1500), F.lit("")).otherwise(
             F.col("source")

@@ -14,7 +14,7 @@ from hirelens.operators import analysis as A
 from hirelens.operators import bronze as B
 from hirelens.operators import silver as S
 from hirelens.plans import explore
-from hirelens.session import scratch_path
+from hirelens.session import freeze, scratch_path
 from hirelens.sources import raw_records as raw_files
 from hirelens.sources.tables import BRONZE_SCAN, SILVER_SCAN, scan
 
@@ -90,7 +90,10 @@ def _outcomes(spark, d):
        source_name, source_job_id, source_url, sha256(canonical) AS content_hash
 FROM outcomes WHERE outcome = 'inserted'""", "outcomes", "stored_records")
 def bronze_insert_new(spark, d):
-    rows = B.inserted_rows(_outcomes(spark, d), b.stored_records(spark, d), 1)
+    validated = B.with_reject_reason(b.raw_records(spark, d))
+    stored = b.stored_records(spark, d)
+    fresh = B.fresh_positions(validated, stored)
+    rows = B.inserted_rows(validated, fresh, stored, 1)
     return rows.select("raw_job_id", "source_name", "source_job_id", "source_url",
                        "content_hash")
 
@@ -187,7 +190,7 @@ def scan_bronze(spark, d):
 @query(f"""SELECT doc_id, {sql_clean('text')} AS cleaned,
        {sql_clean(b.sql_pick(b.TITLES, 'doc_id'))} AS title FROM documents""")
 def clean_text(spark, d):
-    return b.table(spark, d, "documents").select(
+    return b.texts(spark, d, "documents", "doc_id", "text").select(
         "doc_id",
         T.clean_text(F.col("text")).alias("cleaned"),
         T.clean_text(b.pick(b.TITLES, F.col("doc_id"))).alias("title"),
@@ -277,7 +280,7 @@ FROM latest l FULL JOIN stored_records s
   ON l.source_name = s.source_name AND l.source_job_id = s.source_job_id
 LEFT JOIN fresh f ON f.raw_job_id = l.raw_job_id)""", "silver", "stored_records")
 def upsert_update(spark, d):
-    merged = S.upsert_postings(_old_postings(spark, d), _good(spark, d))
+    merged = S.upsert_postings(_old_postings(spark, d), freeze(_good(spark, d)))
     return merged.select("job_id", "raw_job_id", "source_name", "source_job_id", "job_title",
                          "company_name")
 
@@ -496,7 +499,7 @@ def seniority_dist(spark, d):
   '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&apos;', chr(39)),
   '&nbsp;', ' '), '&amp;', '&')''')} AS page_text FROM pages""")
 def strip_html_text(spark, d):
-    return b.table(spark, d, "pages").select(
+    return b.texts(spark, d, "pages", "page_id", "html").select(
         "page_id", strip_html(F.col("html")).alias("page_text")
     )
 

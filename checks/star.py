@@ -30,16 +30,20 @@ def _inputs(spark, d):
     return b.jobs(spark, d), b.analysis(spark, d), b.link_pairs(spark, d), b.skills(spark, d)
 
 
+def _demand_inputs(spark, d):
+    return b.job_ids(spark, d), b.analysis(spark, d), b.link_pairs(spark, d), b.skills(spark, d)
+
+
 def _mart(spark, d):
-    return marts.top_skills_by_role(*_inputs(spark, d))
+    return marts.top_skills_by_role(*_demand_inputs(spark, d))
 
 
 def _demand(spark, d):
-    return marts.skill_demand(*_inputs(spark, d))
+    return marts.skill_demand(*_demand_inputs(spark, d))
 
 
 def _required(spark, d):
-    return gap.required_skills(_demand(spark, d))
+    return gap.prepare_required(_demand(spark, d))
 
 
 def _as_double(df, *columns):
@@ -129,13 +133,13 @@ def mart_job_explorer(spark, d):
 @query("""SELECT detected_role, count(DISTINCT job_id) AS total_jobs_for_role
 FROM eligible GROUP BY 1""", "eligible")
 def role_totals(spark, d):
-    return marts.role_totals(b.jobs(spark, d), b.analysis(spark, d))
+    return marts.role_totals(b.job_ids(spark, d), b.analysis(spark, d))
 
 
 @query("""SELECT e.detected_role, l.skill_id, count(DISTINCT e.job_id) AS jobs_with_skill
 FROM eligible e JOIN links l ON e.job_id = l.job_id GROUP BY 1, 2""", "eligible", "links")
 def skill_counts(spark, d):
-    return marts.skill_counts(b.jobs(spark, d), b.analysis(spark, d), b.link_pairs(spark, d))
+    return marts.skill_counts(b.job_ids(spark, d), b.analysis(spark, d), b.link_pairs(spark, d))
 
 
 # --- reports ----------------------------------------------------------------------
@@ -358,7 +362,7 @@ def match_score(spark, d):
   JOIN eligible e ON e.job_id = l.job_id AND e.detected_role = w.detected_role
   GROUP BY 1, 2) WHERE n > 1 GROUP BY 1, 2""", "demand", "links", "eligible")
 def skill_combinations(spark, d):
-    eligible = marts.eligible_jobs(b.jobs(spark, d), b.analysis(spark, d))
+    eligible = marts.eligible_jobs(b.job_ids(spark, d), b.analysis(spark, d))
     return gap.skill_combinations(eligible, b.link_pairs(spark, d), _demand(spark, d))
 
 

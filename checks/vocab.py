@@ -12,6 +12,7 @@ from hirelens import fixed_values as V
 from hirelens.functions import skills as SK
 from hirelens.functions import text as T
 from hirelens.operators import skills as K
+from hirelens.session import freeze
 
 from checks import bridge as b
 from checks.bridge import quote, sql, sql_collapse
@@ -259,7 +260,7 @@ def confidence(spark, d):
 @query(f"""SELECT doc_id, substr(coalesce({sql_collapse('text')}, ''), 1,
        {V.MAX_DESCRIPTION_CHARACTERS}) AS description FROM documents""")
 def truncate_desc(spark, d):
-    return b.table(spark, d, "documents").select(
+    return b.texts(spark, d, "documents", "doc_id", "text").select(
         "doc_id", T.truncate(F.col("text"), V.MAX_DESCRIPTION_CHARACTERS).alias("description")
     )
 
@@ -363,12 +364,12 @@ JOIN {all_skills} s ON lower(trim(s.skill_name)) = lower(trim(c.skill_name))"""
 
 @query("SELECT * FROM all_skills", "all_skills")
 def upsert_skills(spark, d):
-    merged = K.upsert_skills(_vocabulary(spark, d), _candidates(spark, d))
+    merged = K.upsert_skills(_vocabulary(spark, d), freeze(_candidates(spark, d)))
     return merged.select("skill_id", "skill_name", "skill_category")
 
 
 def _linked(spark, d):
-    candidates = _candidates(spark, d)
+    candidates = freeze(_candidates(spark, d))
     return K.with_skill_ids(candidates, K.upsert_skills(_vocabulary(spark, d), candidates))
 
 
@@ -444,7 +445,9 @@ def _aliases(spark):
 
 
 def _texts(spark, d):
-    return b.table(spark, d, "documents").select(F.col("doc_id").alias("job_id"), "text")
+    return b.texts(spark, d, "documents", "doc_id", "text").select(
+        F.col("doc_id").alias("job_id"), "text"
+    )
 
 
 _values = ", ".join(f"({quote(k)}, {v})" for k, v in DICTIONARY.items())

@@ -30,7 +30,7 @@ def query(statement: str | None, *views: str):
 
 
 def _pages(spark, d):
-    return b.table(spark, d, "pages")
+    return b.texts(spark, d, "pages", "page_id", "url", "html")
 
 
 # --- URLs: page URLs rewritten as job URLs; https ones direct, http ones with a slug ----

@@ -57,7 +57,7 @@ def upsert_analysis(existing: DataFrame, rows: DataFrame) -> DataFrame:
         rows,
         ["job_id"],
         [c for c in ANALYSIS_COLUMNS if c != "job_id"],
-        ["job_id"],
+        None,  # one row per job
         on_update={"updated_at": now},
         on_insert={"analyzed_at": now, "updated_at": now},
     )

@@ -49,32 +49,44 @@ def with_content_hash(records: DataFrame) -> DataFrame:
     return records.withColumn("content_hash", payload.content_hash(F.col("raw_payload")))
 
 
-def with_outcome(validated: DataFrame, existing: DataFrame) -> DataFrame:
-    """Add the load outcome of every record: inserted, skipped_duplicate or failed.
+def fresh_positions(validated: DataFrame, existing: DataFrame) -> DataFrame:
+    """Positions of the records to insert: the first good one of each new key.
 
-    The first position of each new key is found on the key columns alone and
-    joined back on the position, which is unique: records of a hot key spread
-    over all tasks.
+    Only key columns are shuffled, and only one row per key and map task.
     """
     good = validated.filter(F.col("reject_reason").isNull())
     first = good.groupBy(*KEY).agg(F.min("position").alias("position"))
-    fresh = first.join(existing.select(*KEY), KEY, "left_anti")
-    marked = validated.join(
-        fresh.select("position", F.lit(True).alias("_fresh")), "position", "left"
-    )
+    return first.join(existing.select(*KEY), KEY, "left_anti").select("position")
+
+
+def with_outcome(validated: DataFrame, existing: DataFrame) -> DataFrame:
+    """Add the load outcome of every record: inserted, skipped_duplicate or failed.
+
+    Whole records meet the fresh positions on the position, which is unique:
+    records of a hot key spread over all tasks.
+    """
+    fresh = fresh_positions(validated, existing).withColumn("_fresh", F.lit(True))
     outcome = (
         F.when(F.col("reject_reason").isNotNull(), FAILED)
         .when(F.col("_fresh"), INSERTED)
         .otherwise(SKIPPED)
     )
+    marked = validated.join(fresh, "position", "left")
     return marked.withColumn("outcome", outcome).drop("_fresh")
 
 
-def inserted_rows(outcomes: DataFrame, existing: DataFrame, run_id: int) -> DataFrame:
-    """Bronze rows for the inserted records, ids in arrival order after the stored ones."""
-    rows = with_content_hash(outcomes.filter(F.col("outcome") == INSERTED))
-    numbered = assign_ids(rows, "raw_job_id", ["position"], largest_id(existing, "raw_job_id"))
-    return numbered.select(
+def inserted_rows(
+    records: DataFrame, fresh: DataFrame, existing: DataFrame, run_id: int
+) -> DataFrame:
+    """Bronze rows for the fresh positions, ids in arrival order after the stored ones.
+
+    Ids are given to the positions alone; payloads are hashed once, after the join.
+    """
+    ids = assign_ids(
+        fresh.select("position"), "raw_job_id", ["position"], largest_id(existing, "raw_job_id")
+    )
+    rows = with_content_hash(records.join(ids, "position"))
+    return rows.select(
         "raw_job_id",
         F.lit(run_id).cast("bigint").alias("pipeline_run_id"),
         *KEY,

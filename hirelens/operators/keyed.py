@@ -34,13 +34,6 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     return _pick(df, keys, order, F.max_by)
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    test = left[keys[0]].eqNullSafe(right[keys[0]])
-    for key in keys[1:]:
-        test = test & left[key].eqNullSafe(right[key])
-    return test
-
-
 def new_rows(
     existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
@@ -62,17 +55,19 @@ def upsert(
     incoming: DataFrame,
     keys: Sequence[str],
     update: Sequence[str],
-    order: Sequence[str],
+    order: Sequence[str] | None,
     on_update: Mapping[str, Column] | None = None,
     on_insert: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Table after insert-or-update; the last incoming row per key wins.
+    """Table after insert-or-update; the last incoming row per key wins. Without
+    an order the incoming keys must be unique already.
 
     Matched rows take every ``update`` column from the incoming row, NULLs
     included, plus ``on_update`` values; all other columns keep the stored
     value. New rows take what the incoming row has, then ``on_insert``.
     """
-    latest = last_per_key(incoming, keys, order).withColumn("_new", F.lit(True))
+    latest = last_per_key(incoming, keys, order) if order else incoming
+    latest = latest.withColumn("_new", F.lit(True))
     stored = existing.withColumn("_old", F.lit(True))
     old, new = stored.alias("old"), latest.alias("new")
     on_update, on_insert = on_update or {}, on_insert or {}
@@ -180,6 +175,12 @@ def largest_id(df: DataFrame, column: str) -> int:
     return int(value or 0)
 
 
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """A frame of checked size as a broadcast side, a larger one as it is. Meant
+    for frozen or stored frames, which are cheap to count."""
+    return F.broadcast(df) if at_most(df, rows) else df
+
+
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether the frame holds no more than this many rows; reads no further than needed."""
     return df.limit(rows + 1).count() <= rows

@@ -10,7 +10,7 @@ from hirelens.functions import payload
 from hirelens.functions.once import with_computed
 from hirelens.functions.location import parse_country, remote_text, remote_type
 from hirelens.functions.text import clean_text
-from hirelens.operators.keyed import assign_ids, largest_id, last_per_key, upsert
+from hirelens.operators.keyed import assign_ids, largest_id, upsert
 
 KEY = ["source_name", "source_job_id"]
 CLEANED = {
@@ -100,20 +100,22 @@ def silver_report(candidates: DataFrame) -> DataFrame:
 
 def upsert_postings(existing: DataFrame, rows: DataFrame) -> DataFrame:
     """Postings after the refresh: ids and creation times of known jobs are kept,
-    the bronze row with the largest id wins a shared key."""
+    the bronze row with the largest id wins a shared key.
+
+    Winners and new ids are found on the keys alone and joined back on the
+    bronze id, which is unique. ``rows`` is read twice: pass a frozen frame.
+    """
     now = F.current_timestamp()
-    latest = last_per_key(rows, KEY, ["raw_job_id"])
-    fresh = latest.join(existing.select(*KEY), KEY, "left_anti")
-    ids = assign_ids(
-        fresh.select("raw_job_id"), "job_id", ["raw_job_id"], largest_id(existing, "job_id")
-    )
-    numbered = latest.join(ids, "raw_job_id", "left")
+    winners = rows.groupBy(*KEY).agg(F.max("raw_job_id").alias("raw_job_id"))
+    fresh = winners.join(existing.select(*KEY), KEY, "left_anti").select("raw_job_id")
+    ids = assign_ids(fresh, "job_id", ["raw_job_id"], largest_id(existing, "job_id"))
+    numbered = winners.select("raw_job_id").join(ids, "raw_job_id", "left")
     return upsert(
         existing,
-        numbered,
+        rows.join(numbered, "raw_job_id"),
         KEY,
         UPDATED,
-        ["raw_job_id"],
+        None,
         on_update={"updated_at": now},
         on_insert={"cleaned_at": now, "created_at": now, "updated_at": now},
     )

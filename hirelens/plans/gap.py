@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
+from hirelens.operators.keyed import broadcast_if_small
+from hirelens.session import freeze
 
 
 def skill_key(name: Column) -> Column:
@@ -40,6 +42,15 @@ def required_skills(demand: DataFrame, top: int = V.GAP_SKILLS) -> DataFrame:
     )
 
 
+# Requirements up to this size travel to the student rows as a broadcast.
+MAX_BROADCAST_REQUIREMENTS = 100_000
+
+
+def prepare_required(demand: DataFrame, top: int = V.GAP_SKILLS) -> DataFrame:
+    """The required skills computed once, and of checked size when broadcast."""
+    return broadcast_if_small(freeze(required_skills(demand, top)), MAX_BROADCAST_REQUIREMENTS)
+
+
 def matched_skills(
     targets: DataFrame, student_skills: DataFrame, required: DataFrame
 ) -> DataFrame:
@@ -48,6 +59,7 @@ def matched_skills(
     ``targets`` is (student_id, detected_role), ``student_skills`` is
     (student_id, skill). Skills no role asks for are dropped first, by the
     short required list, so that only matches are joined with the students.
+    ``required`` is used several times: pass a prepared frame.
     """
     owned = student_skills.select("student_id", skill_key(F.col("skill")).alias("skill_key"))
     useful = owned.join(required.select("skill_key"), "skill_key", "left_semi").distinct()

@@ -125,9 +125,14 @@ def refresh(
     _append(opened, root, "pipeline_runs", run_id)
     try:
         stored = bronze(spark, root)
-        outcomes = freeze(B.with_outcome(records, stored))
+        outcomes = freeze(
+            B.with_outcome(records, stored).select("position", "outcome")
+        )
         counts = B.load_counts(outcomes).first()
-        _append(B.inserted_rows(outcomes, stored, run_id), root, "raw_job_postings", run_id)
+        fresh = outcomes.filter(F.col("outcome") == B.INSERTED)
+        _append(
+            B.inserted_rows(records, fresh, stored, run_id), root, "raw_job_postings", run_id
+        )
         raw = bronze(spark, root)
 
         target = f"{root}/snapshots/{run_id}"
@@ -138,7 +143,7 @@ def refresh(
         tables = {"raw_job_postings": raw}
         candidates = S.silver_candidates(raw, criteria_fallback)
         tables["job_postings"] = write_table(
-            S.upsert_postings(old["job_postings"], S.good_rows(candidates)),
+            S.upsert_postings(old["job_postings"], freeze(S.good_rows(candidates))),
             target, "job_postings",
         )
         tables["job_analysis"] = write_table(

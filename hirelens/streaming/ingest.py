@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from hirelens import schemas
 from hirelens.operators.bronze import (
     KEY,
-    INSERTED,
+    fresh_positions,
     with_content_hash,
-    with_outcome,
     with_reject_reason,
 )
 from hirelens.session import freeze
@@ -51,8 +50,8 @@ def load_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     spark = batch.sparkSession
     records = freeze(with_reject_reason(with_position(batch)))
     existing = _folder_table(spark, f"{root}/raw_job_postings", STORED, batch_id)
-    outcomes = with_outcome(records, existing)
-    inserted = with_content_hash(outcomes.filter(F.col("outcome") == INSERTED)).select(
+    fresh = fresh_positions(records, existing)
+    inserted = with_content_hash(records.join(fresh, "position")).select(
         *KEY, "source_url", "scraped_at", "raw_payload", "content_hash"
     )
     inserted.write.mode("overwrite").parquet(f"{root}/raw_job_postings/batch_id={batch_id}")
