@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
+from hirelens.functions.literals import sql_text
 from hirelens.session import spread
 
 VIEWS: dict[str, str] = {}
@@ -64,10 +65,8 @@ def sql_in(values) -> str:
 
 def pick(values, index) -> F.Column:
     """values[index % n], the same rule as sql_pick."""
-    return F.element_at(
-        F.array(*[F.lit(v).cast("string") for v in values]),
-        (index % len(values) + 1).cast("int"),
-    )
+    texts = ", ".join("CAST(NULL AS STRING)" if v is None else sql_text(v) for v in values)
+    return F.element_at(F.expr(f"array({texts})"), (index % len(values) + 1).cast("int"))
 
 
 def sql_pick(values, index: str) -> str:

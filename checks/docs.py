@@ -14,7 +14,7 @@ from hirelens.operators import analysis as A
 from hirelens.operators import bronze as B
 from hirelens.operators import silver as S
 from hirelens.plans import explore
-from hirelens.session import freeze, scratch_path
+from hirelens.session import scratch_path, stage
 from hirelens.sources import raw_records as raw_files
 from hirelens.sources.tables import BRONZE_SCAN, SILVER_SCAN, scan
 
@@ -280,7 +280,7 @@ FROM latest l FULL JOIN stored_records s
   ON l.source_name = s.source_name AND l.source_job_id = s.source_job_id
 LEFT JOIN fresh f ON f.raw_job_id = l.raw_job_id)""", "silver", "stored_records")
 def upsert_update(spark, d):
-    merged = S.upsert_postings(_old_postings(spark, d), freeze(_good(spark, d)))
+    merged = S.upsert_postings(_old_postings(spark, d), stage(_good(spark, d), "silver"))
     return merged.select("job_id", "raw_job_id", "source_name", "source_job_id", "job_title",
                          "company_name")
 

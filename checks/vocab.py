@@ -12,7 +12,7 @@ from hirelens import fixed_values as V
 from hirelens.functions import skills as SK
 from hirelens.functions import text as T
 from hirelens.operators import skills as K
-from hirelens.session import freeze
+from hirelens.session import stage
 
 from checks import bridge as b
 from checks.bridge import quote, sql, sql_collapse
@@ -364,12 +364,12 @@ JOIN {all_skills} s ON lower(trim(s.skill_name)) = lower(trim(c.skill_name))"""
 
 @query("SELECT * FROM all_skills", "all_skills")
 def upsert_skills(spark, d):
-    merged = K.upsert_skills(_vocabulary(spark, d), freeze(_candidates(spark, d)))
+    merged = K.upsert_skills(_vocabulary(spark, d), stage(_candidates(spark, d), "skills"))
     return merged.select("skill_id", "skill_name", "skill_category")
 
 
 def _linked(spark, d):
-    candidates = freeze(_candidates(spark, d))
+    candidates = stage(_candidates(spark, d), "skills")
     return K.with_skill_ids(candidates, K.upsert_skills(_vocabulary(spark, d), candidates))
 
 

@@ -237,11 +237,12 @@ SELECTORS = {
 
 
 def sql_markup_text(markup: str) -> str:
-    """Tags to blanks, then entities, then whitespace."""
+    """Tags to blanks, then entities, then whitespace. HTML also reads &amp without ;."""
     plain = f"regexp_replace({markup}, '<[^>]*>', ' ', 'g')"
     for entity, text in {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&copy;": "©",
-                         "&middot;": "·", "&nbsp;": " ", "&amp;": "&"}.items():
+                         "&middot;": "·", "&nbsp;": " "}.items():
         plain = f"replace({plain}, '{entity}', '{text}')"
+    plain = f"regexp_replace({plain}, '&amp;?', '&', 'g')"  # HTML reads &amp without ; too
     return f"nullif({sql_collapse(plain)}, '')"
 
 

@@ -6,13 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
+from hirelens.functions.literals import literal_map
 from hirelens.functions.text import contains_any, strip_space
 
 
-def literal_map(entries: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
-
-
 def last_comma_part(location: Column) -> Column:
     """The last non-blank comma part, NULL without one."""
     parts = F.transform(F.split(location, ","), strip_space)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
-from hirelens.functions.location import literal_map
+from hirelens.functions.literals import literal_map
 from hirelens.functions.text import contains_phrase, first_phrase, match_text
 
 

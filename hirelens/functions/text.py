@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hirelens.functions.literals import literal_list
+
 SPACE_CLASS = r"[\s\p{Z}\x0B\x1C-\x1F\x85]"
 WORD_CLASS = r"[\p{L}\p{N}_]"
 
@@ -61,10 +63,7 @@ def contains_phrase(text: Column, phrase: str) -> Column:
 
 def contains_any(text: Column, parts: Sequence[str]) -> Column:
     """Plain substring test for any of the parts."""
-    test = text.contains(parts[0])
-    for part in parts[1:]:
-        test = test | text.contains(part)
-    return test
+    return F.exists(literal_list(parts), lambda part: F.contains(text, part))
 
 
 def first_phrase(text: Column, phrases: Sequence[str]) -> Column:
@@ -77,7 +76,7 @@ def first_phrase(text: Column, phrases: Sequence[str]) -> Column:
     phrases = [p.lower() for p in phrases]
     alternatives = "|".join(_literal(p) for p in phrases)
     pattern = f"(?<!{WORD_CLASS})(?=({alternatives})(?!{WORD_CLASS}))"
-    listed = F.array(*[F.lit(p) for p in phrases])
+    listed = literal_list(phrases)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
     index = F.array_min(F.transform(found, lambda hit: F.array_position(listed, hit)))
     return F.when(contains_any(text, phrases), F.get(listed, (index - 1).cast("int")))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.session import freeze
@@ -132,8 +132,8 @@ def with_global_index(
     Rows are range-partitioned and sorted; the position inside a slice is the
     low half of ``monotonically_increasing_id`` and the slice sizes give each
     slice's offset. The slices are frozen first, so that sizes and rows come
-    from the same run. Only the list of slices, one row per partition, is
-    gathered.
+    from the same run. Only the slice sizes, one row per partition, meet in one
+    task and are broadcast.
     """
     sliced = (
         df.repartitionByRange(*order)
@@ -147,18 +147,17 @@ def with_global_index(
         }
     )
     sizes = frozen.groupBy("_slice").agg(F.count("*").alias("_size"))
-    pairs = sizes.agg(F.collect_list(F.struct("_slice", "_size")).alias("_sizes"))
-    offsets = pairs.select(
-        F.explode("_sizes").alias("s"), "_sizes"
-    ).select(
-        F.col("s._slice").alias("_slice"),
-        F.expr(
-            "aggregate(filter(_sizes, x -> x._slice < s._slice), 0L, (acc, x) -> acc + x._size)"
-        ).alias("_offset"),
+    before = (
+        Window.partitionBy(F.lit(0))
+        .orderBy("_slice")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = sizes.select(
+        "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
     indexed = frozen.join(F.broadcast(offsets), "_slice")
     return indexed.withColumn(name, F.col("_offset") + F.col("_local")).drop(
-        "_position", "_slice", "_local", "_offset", "_size"
+        "_position", "_slice", "_local", "_offset"
     )
 
 

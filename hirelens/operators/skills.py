@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.functions import payload
+from hirelens.functions.literals import sql_texts
 from hirelens.functions.once import with_computed
 from hirelens.functions.skills import (
     is_rejected,
@@ -43,7 +44,7 @@ def worklist(
     )
     if force:
         return todo
-    return todo.join(links.select("job_id"), "job_id", "left_anti")
+    return todo.join(links.select("job_id").distinct(), "job_id", "left_anti")
 
 
 # --- responses ---------------------------------------------------------------
@@ -139,7 +140,7 @@ def _phrases(texts: DataFrame, sizes: list[int], known: list[str] | None) -> Dat
     def kept(n: int):
         if known is None:
             return F.array_distinct(F.array_compact(f"_run{n}"))
-        return F.filter(f"_run{n}", lambda run: run.isin(known))
+        return F.expr(f"filter(_run{n}, run -> run IN ({sql_texts(known)}))")
 
     found = F.array_distinct(F.concat(*[kept(n) for n in sizes]))
     return rows.select("job_id", F.explode_outer(found).alias("phrase")).filter(
@@ -319,7 +320,7 @@ def upsert_links(
         "position",
     )
     if replace_links:
-        existing = existing.join(rows.select("job_id"), "job_id", "left_anti").select(
+        existing = existing.join(rows.select("job_id").distinct(), "job_id", "left_anti").select(
             *existing.columns
         )
     return upsert(

@@ -25,7 +25,7 @@ from hirelens.operators import silver as S
 from hirelens.operators import skills as K
 from hirelens.operators.keyed import largest_id
 from hirelens.plans import marts as M
-from hirelens.session import freeze
+from hirelens.session import freeze, stage
 from hirelens.sources.raw_records import read_raw_records, require_records
 from hirelens.sources.tables import empty_table, read_table, write_table
 
@@ -114,8 +114,9 @@ def refresh(
     closes the run as failed and is raised.
     """
     # positions must not change between the passes over the input
-    records = freeze(
-        B.with_reject_reason(require_records(read_raw_records(spark, raw_path, layout)))
+    records = stage(
+        B.with_reject_reason(require_records(read_raw_records(spark, raw_path, layout))),
+        "records",
     )
     source = B.single_source(records)
     total = records.count()
@@ -143,7 +144,7 @@ def refresh(
         tables = {"raw_job_postings": raw}
         candidates = S.silver_candidates(raw, criteria_fallback)
         tables["job_postings"] = write_table(
-            S.upsert_postings(old["job_postings"], freeze(S.good_rows(candidates))),
+            S.upsert_postings(old["job_postings"], stage(S.good_rows(candidates), "silver")),
             target, "job_postings",
         )
         tables["job_analysis"] = write_table(
@@ -160,12 +161,12 @@ def refresh(
             )
             aliases = known_aliases(spark, old["skills"], old["skill_aliases"])
             extracted, method = extractor(todo, aliases)
-            found = freeze(extracted)
+            found = stage(extracted, "skills")
             enriched = found.select("job_id").distinct().count()
             tables["skills"] = write_table(
                 K.upsert_skills(old["skills"], found), target, "skills"
             )
-            linked = freeze(K.with_skill_ids(found, tables["skills"]))
+            linked = stage(K.with_skill_ids(found, tables["skills"]), "links")
             tables["skill_aliases"] = write_table(
                 K.insert_aliases(old["skill_aliases"], linked), target, "skill_aliases"
             )

@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # first-n-per-group limits are applied before the shuffle up to this n
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 
@@ -29,6 +31,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "hirelens", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    # call sites are not recorded for every column expression of the rule chains
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_CONF, **conf}.items():
@@ -62,8 +66,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/hirelens/{name}-{uuid.uuid4().hex}"
 
 
+def stage(df, name: str):
+    """Write a frame that is read several times into the shared folder, as Parquet:
+    later passes read only the columns they need, and a lost executor repeats none
+    of the work behind it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def freeze(df):
-    """Cut lineage with a reliable checkpoint in the shared folder."""
+    """Cut the lineage of a narrow frame with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():

@@ -34,4 +34,4 @@ def known_urls(page_urls: DataFrame, discovered: DataFrame) -> DataFrame:
 
 def new_urls(page_urls: DataFrame, discovered: DataFrame) -> DataFrame:
     """Rows of the page whose URL was not found before, repeats kept."""
-    return page_urls.join(discovered.select("url"), "url", "left_anti")
+    return page_urls.join(discovered.select("url").distinct(), "url", "left_anti")

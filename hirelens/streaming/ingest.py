@@ -18,7 +18,7 @@ from hirelens.operators.bronze import (
     with_content_hash,
     with_reject_reason,
 )
-from hirelens.session import freeze
+from hirelens.session import stage
 from hirelens.sources.raw_records import with_position
 
 STORED = "source_name STRING, source_job_id STRING, source_url STRING, scraped_at STRING, " \
@@ -48,7 +48,7 @@ def rejected(spark: SparkSession, root: str) -> DataFrame:
 
 def load_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     spark = batch.sparkSession
-    records = freeze(with_reject_reason(with_position(batch)))
+    records = stage(with_reject_reason(with_position(batch)), "batch")
     existing = _folder_table(spark, f"{root}/raw_job_postings", STORED, batch_id)
     fresh = fresh_positions(records, existing)
     inserted = with_content_hash(records.join(fresh, "position")).select(
