@@ -492,6 +492,15 @@ def seniority_dist(spark, d):
     return rows.withColumn("percentage", F.col("percentage").cast("double"))
 
 
+@query("""SELECT c.seniority, l.skill_id, count(DISTINCT c.job_id) AS jobs_with_skill, s.skill_name
+FROM classed c JOIN links l ON c.job_id = l.job_id JOIN skills s ON s.skill_id = l.skill_id
+GROUP BY 1, 2, 4""", "classed", "links", "skills")
+def seniority_skills(spark, d):
+    return explore.skill_counts_by_seniority(
+        b.doc_jobs(spark, d), b.link_pairs(spark, d), b.skills(spark, d)
+    )
+
+
 @query(f"""SELECT page_id, {sql_collapse('''replace(replace(replace(replace(replace(replace(
   replace(regexp_replace(regexp_replace(regexp_replace(html,
     '(?is)<(?:script|style)\\b[^>]*>.*?</(?:script|style)>', ' ', 'g'),

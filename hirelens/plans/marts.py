@@ -248,30 +248,36 @@ def joined_set(column: str, collation: str | None = None) -> Column:
     """Distinct values in order, comma-joined; NULL when there are none."""
     values = F.collect_set(column)
     if collation:
-        ordered = F.array_sort(
-            F.transform(values, lambda v: F.struct(F.collate(v, collation), v))
+        keyed = F.transform(
+            values, lambda v: F.struct(F.collate(v, collation).alias("key"), v.alias("value"))
         )
-        ordered = F.transform(ordered, lambda s: s["v"])
+        ordered = F.transform(F.array_sort(keyed), lambda pair: pair["value"])
     else:
         ordered = F.array_sort(values)
     return F.when(F.size(values) > 0, F.array_join(ordered, ", "))
 
 
-def skills_per_job(links: DataFrame, skills: DataFrame) -> DataFrame:
+def skills_per_job(
+    links: DataFrame, skills: DataFrame, collation: str | None = None
+) -> DataFrame:
     """One narrow row per job with its distinct skill names and categories."""
     return (
         links.select("job_id", "skill_id")
         .join(skills.select("skill_id", "skill_name", "skill_category"), "skill_id")
         .groupBy("job_id")
         .agg(
-            joined_set("skill_name").alias("skill_names"),
-            joined_set("skill_category").alias("skill_categories"),
+            joined_set("skill_name", collation).alias("skill_names"),
+            joined_set("skill_category", collation).alias("skill_categories"),
         )
     )
 
 
 def job_explorer(
-    jobs: DataFrame, analysis: DataFrame, links: DataFrame, skills: DataFrame
+    jobs: DataFrame,
+    analysis: DataFrame,
+    links: DataFrame,
+    skills: DataFrame,
+    collation: str | None = None,
 ) -> DataFrame:
     """One row per job with its role, exclusion and skills.
 
@@ -290,7 +296,7 @@ def job_explorer(
     )
     return (
         posted.join(judged, "job_id", "left")
-        .join(skills_per_job(links, skills), "job_id", "left")
+        .join(skills_per_job(links, skills, collation), "job_id", "left")
         .select(
             "job_id", "job_title", "company_name", "location_text", "country", "remote_type",
             "employment_type", "seniority_level", "detected_role", "role_confidence_score",

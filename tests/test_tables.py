@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from hirelens import schemas
 from hirelens.operators import keyed as K
 from hirelens.operators import quality as Q
-from hirelens.plans import gap, marts
+from hirelens.plans import explore, gap, marts
 
 
 def rows(df, *order):
@@ -177,3 +177,66 @@ def test_latest_run_row_wins(spark):
     assert (got.status, got.inserted_raw_count) == ("success", 2)
     assert isinstance(got.finished_at, datetime.datetime)
     assert ledger.schema.names == schemas.PIPELINE_RUNS.names
+
+
+def test_collation_changes_order_only(spark):
+    jobs, analysis, links, skills = star(spark)
+    names = {1: "AWS", 2: "airflow", 3: "Docker"}
+    renamed = skills.withColumn(
+        "skill_name", F.create_map(*[F.lit(x) for p in names.items() for x in p])[F.col("skill_id")]
+    ).filter("skill_id < 4")
+    everything = jobs.select("job_id", F.explode(F.array(*map(F.lit, names))).alias("skill_id"))
+    binary = marts.skills_per_job(everything, renamed).first().skill_names
+    unicode = marts.skills_per_job(everything, renamed, "UNICODE").first().skill_names
+    assert (binary, unicode) == ("AWS, Docker, airflow", "airflow, AWS, Docker")
+    ranks = marts.top_skills_by_role(jobs, analysis, everything, renamed, collation="UNICODE")
+    assert [r.skill_name for r in ranks.orderBy("skill_rank").collect()] == [
+        "airflow", "AWS", "Docker"
+    ]
+
+
+def test_explorer_filters(spark):
+    frame = spark.createDataFrame(
+        [(1, "Data (Jr)", "Acme", None, "data_engineer", False, None, "u1"),
+         (2, "Lead", None, "Rabat", "other", True, "SQL", None),
+         (3, "Baker", "Blue", "Fes", None, None, "R", "u3")],
+        "job_id int, job_title string, company_name string, location_text string, "
+        "detected_role string, is_excluded_from_analysis boolean, skill_names string, "
+        "source_url string",
+    )
+
+    def found(**options):
+        return sorted(r.job_id for r in explore.explore_jobs(frame, **options).collect())
+
+    assert found() == [1]
+    assert found(only_analyzable=False) == [1, 2, 3]
+    assert found(only_analyzable=False, roles=[]) == [1, 2, 3]
+    assert found(only_analyzable=False, roles=["other"]) == [2]
+    assert found(only_analyzable=False, search=" (JR) ") == [1]
+    assert found(only_analyzable=False, search="rab|blue", as_pattern=True) == [2, 3]
+    assert found(only_analyzable=False, search="rab|blue") == []
+    rows = {r.job_id: r for r in explore.explore_jobs(frame, only_analyzable=False).collect()}
+    assert rows[1]["Skills"] == "No skills extracted" and rows[1]["Location"] == ""
+    assert [rows[i]["Analysis status"] for i in (1, 2, 3)] == ["Included", "Excluded", ""]
+
+
+def test_skill_options_prefer_capitals(spark):
+    names = ["pandas", "Pandas", "numpy", " NumPy ", "", None, "r", "C++"]
+    frame = spark.createDataFrame([(n,) for n in names], "skill_name string")
+    got = [r.skill_name for r in explore.skill_options(frame).collect()]
+    assert got == ["C++", "NumPy", "Pandas", "r"]
+
+
+def test_one_key_with_a_third_of_the_rows(spark):
+    """Winners, distinct counts and missing parents against plain Python."""
+    data = [("hot" if i % 3 == 0 else f"k{i % 50}", i * 7919 % 3001) for i in range(3000)]
+    frame = spark.createDataFrame(data, "k string, n int").repartition(8)
+    first, last = {}, {}
+    for key, n in data:
+        first[key] = min(n, first.get(key, n))
+        last[key] = max(n, last.get(key, n))
+    assert dict(map(tuple, K.first_per_key(frame, ["k"], ["n"]).collect())) == first
+    assert dict(map(tuple, K.last_per_key(frame, ["k"], ["n"]).collect())) == last
+    parents = spark.createDataFrame([("k1",)], "id string")
+    missing = Q.relationships(frame, "k", parents, "id").filter("k = 'hot'").first()
+    assert missing.row_count == 1000
