@@ -152,7 +152,7 @@ def page_links(spark, d):
     return _links(spark, d).select("page_id", "position", "job_id", "job_url")
 
 
-# --- crawl novelty: a host is a search, the number in the path is its page -------------------
+# --- crawl novelty: a host and a thousand of path numbers is a search of at most 1000 pages ---
 
 HOST = "^https?://([^/]+)"
 NUMBER = r"^https?://[^/]+/[a-z]+/(\d+)"
@@ -160,10 +160,14 @@ MAX_PAGES, MAX_URLS, MAX_NO_NEW = 1000, 40, 2
 
 
 def _search(df):
-    return df.withColumns(
+    numbered = df.withColumn(
+        "_number", F.coalesce(F.regexp_extract("url", NUMBER, 1).try_cast("bigint"), F.lit(0))
+    )
+    block = F.expr("_number div 1000").cast("string")
+    return numbered.withColumns(
         {
-            "search": F.regexp_extract("url", HOST, 1),
-            "page": F.regexp_extract("url", NUMBER, 1).try_cast("int"),
+            "search": F.concat(F.regexp_extract("url", HOST, 1), F.lit("/"), block),
+            "page": (F.col("_number") % 1000).cast("int"),
         }
     )
 
@@ -174,12 +178,13 @@ def _search_links(spark, d):
     )
 
 
+_NUMBER_SQL = f"coalesce(TRY_CAST(regexp_extract(url, '{NUMBER}', 1) AS BIGINT), 0)"
+_SEARCH_SQL = f"regexp_extract(url, '{HOST}', 1) || '/' || ({_NUMBER_SQL} // 1000)"
+_PAGE_SQL = f"CAST({_NUMBER_SQL} % 1000 AS INTEGER)"
 b.VIEWS["search_pages"] = f"""
-SELECT DISTINCT regexp_extract(url, '{HOST}', 1) AS search,
-       TRY_CAST(regexp_extract(url, '{NUMBER}', 1) AS INTEGER) AS page FROM pages"""
+SELECT DISTINCT {_SEARCH_SQL} AS search, {_PAGE_SQL} AS page FROM pages"""
 b.VIEWS["search_links"] = f"""
-SELECT regexp_extract(url, '{HOST}', 1) AS search,
-       TRY_CAST(regexp_extract(url, '{NUMBER}', 1) AS INTEGER) AS page, position,
+SELECT {_SEARCH_SQL} AS search, {_PAGE_SQL} AS page, position,
        '{ROOT}/' || job_id AS url FROM {{ranked_links}}"""
 b.VIEWS["novelty"] = f"""
 SELECT p.search, p.page, count(f.url) - count(f.url) FILTER (f.first_page = p.page) AS known_urls,

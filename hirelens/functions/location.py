@@ -16,9 +16,10 @@ def last_comma_part(location: Column) -> Column:
     return F.try_element_at(F.filter(parts, lambda p: p != ""), F.lit(-1))
 
 
-def parse_country(location: Column) -> Column:
+def parse_country(location: Column, is_clean: bool = False) -> Column:
+    """Country by ordered rules; ``is_clean`` says the text is trimmed already."""
     countries = literal_map(V.COUNTRY_NAMES)
-    text = strip_space(location)
+    text = location if is_clean else strip_space(location)
     lowered = F.lower(text)
     last = last_comma_part(text)
     return (

@@ -148,7 +148,7 @@ def first_urls(links: DataFrame, max_urls: int) -> DataFrame:
     seen = links.groupBy("search", "url").agg(
         F.min(F.struct("page", "position")).alias("_seen")
     )
-    order = Window.partitionBy("search").orderBy("_seen.page", "_seen.position")
+    order = Window.partitionBy("search").orderBy("_seen.page", "_seen.position", "url")
     ranked = seen.withColumn("discovery_rank", F.row_number().over(order))
     return ranked.filter(F.col("discovery_rank") <= max_urls).select(
         "search", "url", "discovery_rank"

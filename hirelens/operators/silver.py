@@ -79,7 +79,7 @@ def silver_candidates(bronze: DataFrame, criteria_fallback: bool = False) -> Dat
     )
     return prepared.select(
         *[
-            parse_country(F.col("location_text")).alias(c) if c == "country"
+            parse_country(F.col("location_text"), is_clean=True).alias(c) if c == "country"
             else remote_type(F.col("_remote_text")).alias(c) if c == "remote_type"
             else F.col(c)
             for c in SILVER_COLUMNS
