@@ -21,7 +21,7 @@ from hirelens.llm.common import bounded_batches, words_of
 from hirelens.llm.fingerprints import WordHashes, shingle_hashes
 from hirelens.llm.language import held_out
 
-SAMPLE_TEXTS = 6000
+SAMPLE_TEXTS = 4000
 LEAST_Z = 7.0
 LEAST_TEXTS = 5
 STEPS = 400
