@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -105,9 +106,10 @@ def record_text(date: str) -> Column:
 
 
 def write_archives(resolved: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z") -> None:
-    """Write records as archive files, one per task, through Spark's own file commit, so
+    """Write records as gzip archives, one per task, through Spark's own file commit, so
     that any store works and a lost executor leaves no half file behind."""
-    resolved.select(record_text(date).alias("value")).write.option("lineSep", "\n").text(path)
+    records = resolved.select(record_text(date).alias("value"))
+    records.write.option("lineSep", "\n").option("compression", "gzip").text(path)
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -137,7 +139,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column("content"):
                 rows, size = [], 0
-                for h, body in parse_archive(content.as_py()):
+                data = content.as_py()
+                if data[:2] == b"\x1f\x8b":
+                    data = gzip.decompress(data)
+                for h, body in parse_archive(data):
                     page, to = h.get("warc-page-id"), h.get("warc-refers-to-page-id")
                     rows.append((
                         h["warc-type"], h["warc-record-id"], h["warc-target-uri"],
