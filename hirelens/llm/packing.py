@@ -9,11 +9,13 @@ then take the places of their length by rank.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,35 +23,69 @@ from hirelens.llm.common import bounded_batches, keep, ranked, slices_for
 
 MOST_TOKENS = 4096
 END_ID = 2
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 PIECES = (
     "row bigint, doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 )
 
 
+# fixed values: the vocabulary's cut of a lower-case word into pieces that it merges apart
+PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+PLAIN = re.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write a byte as a letter: printable Latin-1 as itself, the
+    others in order from 256 on."""
+    printable = {b for b in range(256) if PLAIN.fullmatch(chr(b))}
+    others = iter(range(256, 512))
+    return {b: chr(b if b in printable else next(others)) for b in range(256)}
+
+
 def _encoder(path: str):
     """Token ids of whole texts as little-endian unsigned 32-bit numbers.
 
     The vocabulary drops white space and merges inside words only, so a text's ids are its
-    words' ids one after the other, and words repeat: each worker remembers a bounded
-    number of them.
+    words' ids one after the other, and words and their pieces repeat: each worker remembers
+    a bounded number of them. Plain Latin-1 words go to the merges directly; anything else,
+    where normalising could matter, goes through the whole tokenizer.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    known: dict[str, bytes] = {}
+    merges, letters = tokenizer.model, _byte_letters()
+    known: dict[str, bytes] = {"": b""}
+
+    def merged(piece: str) -> bytes:
+        shown = piece
+        if not piece.isascii():
+            shown = piece.encode().decode("latin-1").translate(letters)
+        ids = [token.id for token in merges.tokenize(shown)]
+        return known.setdefault(piece, np.array(ids, "<u4").tobytes())
+
+    def learn(word: str) -> None:
+        if not PLAIN.fullmatch(word) or "<|" in word:
+            ids = tokenizer.encode(word, add_special_tokens=False).ids
+            known[word] = np.array(ids, "<u4").tobytes()
+            return
+        lower = word.lower()
+        pieces = [lower] if lower.isalpha() else PIECE.findall(lower)
+        known[word] = b"".join(
+            [known[p] if p in known else merged(p) for p in pieces]
+        )
 
     def encode(text: str) -> bytes:
         words = text.replace("\n", " ").replace("\t", " ").split(" ")
         try:
             return b"".join(map(known.__getitem__, words))
         except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in known]
+            pass
         if len(known) > CACHED_WORDS:
             known.clear()
-            new = list(dict.fromkeys(words))
-        for word, code in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[word] = np.array(code.ids, "<u4").tobytes()
+            known[""] = b""
+        for word in set(words):
+            if word not in known:
+                learn(word)
         return b"".join(map(known.__getitem__, words))
 
     return encode
