@@ -62,7 +62,7 @@ class MinHasher:
             h >>= np.uint64(16)  # low bits of a product mix too little
             np.minimum(least, h.min(axis=1), out=least)
         grid = least.reshape(self.bands, self.rows)
-        out = np.zeros(self.bands, np.uint64)
+        out = np.arange(1, self.bands + 1, dtype=np.uint64)  # a hash belongs to one band
         for i in range(self.rows):
             out = (out ^ grid[:, i]) * np.uint64(0x9E3779B97F4A7C15)
             out ^= out >> np.uint64(31)
@@ -246,38 +246,38 @@ def near_duplicates(
         "join-texts",
     )
     first = signed.join(texts.select(F.col("text").alias("row")), "row", "left_semi")
-    entries = first.filter("shingles > 0").select(
-        F.col("row").alias("text"), "shingles", F.posexplode("bands").alias("band", "hash")
+    entries = first.select(F.col("row").alias("text"), F.posexplode("bands").alias("band", "hash"))
+    shared = entries.groupBy("hash").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    matched = keep(
+        entries.join(shared.select("hash"), "hash", "left_semi").select("text", "band", "hash"),
+        "join-matched",
     )
     mixed = [F.sum(F.xxhash64(F.lit(i), "text").cast("decimal(20,0)")) for i in range(2)]
-    buckets = keep(
-        entries.groupBy("band", "hash").agg(
+    sizes = first.select(F.col("row").alias("text"), "shingles")
+    different = (
+        matched.join(sizes, "text")
+        .groupBy("hash", "band").agg(
             F.count(F.lit(1)).alias("texts"), F.sum("shingles").alias("total"),
             mixed[0].alias("m0"), mixed[1].alias("m1"),
-        ).filter("texts > 1"),
-        "join-buckets",
-    )
-    different = (
-        buckets.groupBy("texts", "total", "m0", "m1")
+        )
+        .groupBy("texts", "total", "m0", "m1")
         .agg(F.min(F.struct("band", "hash")).alias("first"))
         .select(
-            "first.band", "first.hash",
+            "first.hash",
             F.greatest(
                 F.ceil(F.col("total") / block_shingles), F.ceil(F.col("texts") / block_texts)
             ).cast("int").alias("slices"),
         )
     )
     # a text's slice in a bucket; a block is a pair of slices
-    members = keep(
-        first.filter("shingles > 0")
-        .select(F.col("row").alias("text"), "digest", "bands",
-                F.posexplode("bands").alias("band", "hash"))
-        .join(different, ["band", "hash"])
+    placed = keep(matched.join(different, "hash"), "join-placed")
+    members = (
+        placed.join(first.select(F.col("row").alias("text"), "digest", "bands"), "text")
         .withColumn("slice", F.pmod(F.xxhash64(F.lit(SEED), "text"), "slices").cast("int"))
         .withColumn("earlier", F.slice("bands", 1, F.col("band")))
-        .drop("bands"),
-        "join-members",
+        .drop("bands")
     )
+    members = keep(members, "join-members")
     wanted = members.select("digest", "text").distinct()
     bounded_batches(docs.sparkSession)
 
