@@ -9,6 +9,7 @@ maximisation (forward-backward) on a bounded sample of labelled texts.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -206,6 +207,17 @@ class _Scorer:
         return out
 
 
+_kept: dict[str, _Scorer] = {}
+
+
+def _scorer(name: str, pieces: dict[str, int], table: np.ndarray) -> _Scorer:
+    """The scorer of one run: a worker's tasks share what it has learned."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = _Scorer(pieces, table)
+    return _kept[name]
+
+
 def predict(
     docs: DataFrame, languages: list[str], pieces: dict[str, int], table: np.ndarray,
     text: str = "text",
@@ -222,9 +234,11 @@ def predict(
     rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text).alias("text"))
     schema = rows.drop("text").schema.add("lang_pred", "string").add("score", "double")
 
+    name = uuid.uuid4().hex
+
     def score(batches):
         languages, pieces, table = model.value
-        scorer = _Scorer(pieces, table)
+        scorer = _scorer(name, pieces, table)
         for batch in batches:
             sums = scorer.texts([t or "" for t in batch.column("text").to_pylist()])
             names, scores = [], []

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in printable else next(others)) for b in range(256)}
 
 
+@lru_cache(maxsize=1)  # a worker's tasks share what it has learned
 def _encoder(path: str):
     """Token ids of whole texts as little-endian unsigned 32-bit numbers.
 

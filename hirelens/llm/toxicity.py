@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -218,6 +219,17 @@ class _Scorer:
         return 1 - math.exp(none), found
 
 
+_kept: dict[str, _Scorer] = {}
+
+
+def _scorer(name: str, model: dict) -> _Scorer:
+    """The scorer of one run: a worker's tasks share what it has learned."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = _Scorer(model)
+    return _kept[name]
+
+
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """Add `score` (0 to 1) and `offending` sentences to every row, which becomes `doc`.
 
@@ -238,8 +250,10 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     kind = pa.list_(pa.struct([("sentence", pa.int32()), ("start", pa.int32()),
                                ("stop", pa.int32()), ("score", pa.float64())]))
 
+    name = uuid.uuid4().hex
+
     def run(batches):
-        scorer = _Scorer(shared.value)
+        scorer = _scorer(name, shared.value)
         for batch in batches:
             out = [scorer.score(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
