@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
 from hirelens.functions.literals import sql_text
-from hirelens.session import spread
 
 VIEWS: dict[str, str] = {}
 
@@ -21,8 +20,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    """A table of long texts, cut to the columns at hand, shared among the cores."""
-    return spread(table(spark, folder, name).select(*columns))
+    """A table of long texts, cut to the columns at hand."""
+    return table(spark, folder, name).select(*columns)
 
 
 def sql(body: str, *views: str) -> str:
@@ -157,9 +156,21 @@ def job_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def analysis(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order's analysis."""
+    return _analysis_of(table(spark, folder, "orders"))
+
+
+def part_analysis(spark: SparkSession, folder: str) -> DataFrame:
+    """Without the later orders, for the queries whose feature is a job without analysis."""
     orders = table(spark, folder, "orders")
+    return _analysis_of(
+        orders.filter(F.col("o_orderdate") < F.lit(ANALYZED_UNTIL).cast("timestamp"))
+    )
+
+
+def _analysis_of(orders: DataFrame) -> DataFrame:
     excluded = F.col("o_orderstatus") == "P"
-    return orders.filter(F.col("o_orderdate") < F.lit(ANALYZED_UNTIL).cast("timestamp")).select(
+    return orders.select(
         F.col("o_orderkey").alias("job_id"),
         case("o_orderpriority", ROLE_OF_PRIORITY).alias("detected_role"),
         F.lit("rule_based").alias("analysis_method"),
@@ -181,7 +192,9 @@ SELECT o_orderkey AS job_id, {sql_case('o_orderpriority', ROLE_OF_PRIORITY)} AS
        o_orderstatus = 'P' AS is_excluded_from_analysis,
        CASE WHEN o_orderstatus = 'P' THEN 'pending' END AS exclusion_reason,
        o_orderdate AS analyzed_at
-FROM orders WHERE o_orderdate < TIMESTAMP '{ANALYZED_UNTIL} 00:00:00'"""
+FROM orders"""
+VIEWS["part_analysis"] = f"""
+SELECT * FROM {{analysis}} WHERE analyzed_at < TIMESTAMP '{ANALYZED_UNTIL} 00:00:00'"""
 
 
 def skills(spark: SparkSession, folder: str) -> DataFrame:
@@ -255,7 +268,7 @@ SELECT j.job_id, j.job_title, j.company_name, j.location_text, j.country, j.remo
        a.exclusion_reason, j.source_name, j.source_url,
        string_agg(DISTINCT s.skill_name, ', ' ORDER BY s.skill_name) AS skill_names,
        string_agg(DISTINCT s.skill_category, ', ' ORDER BY s.skill_category) AS skill_categories
-FROM {jobs} j LEFT JOIN {analysis} a ON j.job_id = a.job_id
+FROM {jobs} j LEFT JOIN {part_analysis} a ON j.job_id = a.job_id
 LEFT JOIN {links} l ON j.job_id = l.job_id LEFT JOIN {skills} s ON l.skill_id = s.skill_id
 GROUP BY ALL"""
 
@@ -271,6 +284,18 @@ FROM (SELECT *, row_number() OVER (PARTITION BY detected_role
 WHERE position <= 15 GROUP BY 1, 2"""
 
 
+VIEWS["role_skills"] = """
+SELECT *, row_number() OVER (PARTITION BY detected_role
+              ORDER BY jobs_with_skill DESC, skill_name, skill_key) AS position FROM (
+SELECT detected_role, skill_key, skill_name, skill_category, demand_percentage,
+       jobs_with_skill, total_jobs_for_role
+FROM (SELECT detected_role, lower(trim(skill_name)) AS skill_key, trim(skill_name) AS skill_name,
+             skill_category, demand_percentage, jobs_with_skill, total_jobs_for_role,
+             row_number() OVER (PARTITION BY detected_role, lower(trim(skill_name))
+                 ORDER BY jobs_with_skill, {demand}.skill_name DESC, skill_id DESC) AS n
+      FROM {demand} WHERE skill_name IS NOT NULL) WHERE n = 1)"""
+
+
 def targets(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(
         F.col("c_custkey").alias("student_id"),
@@ -304,6 +329,12 @@ SELECT DISTINCT t.student_id, t.detected_role, r.skill_key, r.skill_name, r.dema
 FROM {targets} t JOIN {student_skills} s ON t.student_id = s.student_id
 JOIN {required} r ON r.detected_role = t.detected_role AND r.skill_key = lower(trim(s.skill))"""
 
+VIEWS["owned"] = """
+SELECT DISTINCT t.student_id, t.detected_role, r.skill_key, r.demand_percentage
+FROM {targets} t JOIN {student_skills} s ON t.student_id = s.student_id
+JOIN {role_skills} r
+  ON r.detected_role = t.detected_role AND r.skill_key = lower(trim(s.skill))"""
+
 # --- B. documents as postings ------------------------------------------------
 
 TITLES = [

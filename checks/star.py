@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hirelens import fixed_values as V
 from hirelens.operators import keyed, quality, skills as skill_ops
 from hirelens.plans import explore, gap, marts
+from hirelens.session import freeze
 from hirelens.sources.tables import scan
 
 from checks import bridge as b
@@ -27,7 +28,7 @@ def query(statement: str | None, *views: str):
 
 
 def _inputs(spark, d):
-    return b.jobs(spark, d), b.analysis(spark, d), b.link_pairs(spark, d), b.skills(spark, d)
+    return b.jobs(spark, d), b.part_analysis(spark, d), b.link_pairs(spark, d), b.skills(spark, d)
 
 
 def _demand_inputs(spark, d):
@@ -106,8 +107,8 @@ def mart_top_skills(spark, d):
        (SELECT count(*) FROM (SELECT DISTINCT skill_id FROM skills)) AS total_skills,
        (SELECT count(*) FROM (SELECT DISTINCT job_id, skill_id FROM links))
            AS total_job_skill_links
-FROM jobs j LEFT JOIN analysis a ON j.job_id = a.job_id""",
-       "jobs", "analysis", "skills", "links")
+FROM jobs j LEFT JOIN part_analysis a ON j.job_id = a.job_id""",
+       "jobs", "part_analysis", "skills", "links")
 def mart_market_overview(spark, d):
     return marts.market_overview(*_inputs(spark, d))
 
@@ -311,12 +312,18 @@ def gap_missing(spark, d):
     return _missing(spark, d).drop("learning_rank")
 
 
-@query("SELECT student_id, detected_role, CAST(learning_rank AS INTEGER) AS learning_rank, "
-       "skill_name FROM (" + MISSING + ")", "targets", "required", "matched")
+@query("""SELECT * FROM (
+  SELECT t.student_id, t.detected_role, CAST(row_number() OVER (
+             PARTITION BY t.student_id, t.detected_role ORDER BY r.position) AS INTEGER)
+             AS learning_rank, r.skill_name
+  FROM targets t JOIN role_skills r ON t.detected_role = r.detected_role
+  LEFT JOIN owned m ON m.student_id = t.student_id AND m.detected_role = t.detected_role
+       AND m.skill_key = r.skill_key
+  WHERE m.skill_key IS NULL) WHERE learning_rank <= 15""", "targets", "role_skills", "owned")
 def missing_ranked(spark, d):
-    return _missing(spark, d).select(
-        "student_id", "detected_role", F.col("learning_rank").cast("int"), "skill_name"
-    )
+    ranked = freeze(gap.ranked_role_skills(_demand(spark, d)))
+    missing = gap.first_missing_skills(b.targets(spark, d), b.student_skills(spark, d), ranked)
+    return missing.select("student_id", "detected_role", "learning_rank", "skill_name")
 
 
 @query("""SELECT t.student_id, t.detected_role, coalesce(r.n, 0) AS required_count,
@@ -340,24 +347,21 @@ def gap_summary(spark, d):
            AS match_score
 FROM targets t
 JOIN (SELECT detected_role, sum(CAST(demand_percentage AS DECIMAL(27,2))) AS total
-      FROM required GROUP BY 1) r ON t.detected_role = r.detected_role
+      FROM role_skills GROUP BY 1) r ON t.detected_role = r.detected_role
 LEFT JOIN (SELECT student_id, detected_role,
                   sum(CAST(demand_percentage AS DECIMAL(27,2))) AS owned
-           FROM matched GROUP BY 1, 2) m
+           FROM owned GROUP BY 1, 2) m
   ON m.student_id = t.student_id AND m.detected_role = t.detected_role""",
-       "targets", "required", "matched")
+       "targets", "role_skills", "owned")
 def match_score(spark, d):
-    return gap.match_score(
-        b.targets(spark, d), b.student_skills(spark, d), _required(spark, d)
-    )
+    demand = freeze(gap.role_skills(_demand(spark, d)))
+    return gap.match_score(b.targets(spark, d), b.student_skills(spark, d), demand)
 
 
 @query("""SELECT detected_role, combination, count(*) AS jobs FROM (
   SELECT w.detected_role, l.job_id, count(DISTINCT w.skill_name) AS n,
          string_agg(DISTINCT w.skill_name, ', ' ORDER BY w.skill_name) AS combination
-  FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY detected_role
-            ORDER BY skill_rank, skill_name, skill_id) AS position FROM demand)
-        WHERE position <= 15) w
+  FROM demand w
   JOIN links l ON l.skill_id = w.skill_id
   JOIN eligible e ON e.job_id = l.job_id AND e.detected_role = w.detected_role
   GROUP BY 1, 2) WHERE n > 1 GROUP BY 1, 2""", "demand", "links", "eligible")
@@ -370,12 +374,12 @@ def skill_combinations(spark, d):
 
 
 @query("""SELECT j.job_id, j.job_title, j.description_text FROM jobs j
-LEFT JOIN analysis a ON j.job_id = a.job_id
+LEFT JOIN part_analysis a ON j.job_id = a.job_id
 WHERE j.description_text IS NOT NULL AND coalesce(a.is_excluded_from_analysis, false) = false
   AND NOT EXISTS (SELECT 1 FROM links l WHERE l.job_id = j.job_id)""",
-       "jobs", "analysis", "links")
+       "jobs", "part_analysis", "links")
 def skill_worklist(spark, d):
-    return skill_ops.worklist(b.jobs(spark, d), b.analysis(spark, d), b.link_pairs(spark, d))
+    return skill_ops.worklist(b.jobs(spark, d), b.part_analysis(spark, d), b.link_pairs(spark, d))
 
 
 @query("""SELECT 'link' AS kept, job_id, skill_id FROM links
@@ -423,10 +427,10 @@ def dq_accepted_values(spark, d):
 
 
 @query("""SELECT job_id, count(*) AS row_count FROM links
-WHERE job_id NOT IN (SELECT job_id FROM analysis) GROUP BY 1""", "links", "analysis")
+WHERE job_id NOT IN (SELECT job_id FROM part_analysis) GROUP BY 1""", "links", "part_analysis")
 def dq_relationships(spark, d):
     return quality.relationships(
-        b.link_pairs(spark, d), "job_id", b.analysis(spark, d), "job_id"
+        b.link_pairs(spark, d), "job_id", b.part_analysis(spark, d), "job_id"
     )
 
 

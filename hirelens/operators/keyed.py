@@ -172,14 +172,3 @@ def assign_ids(
 def largest_id(df: DataFrame, column: str) -> int:
     value = df.agg(F.max(column)).first()[0]
     return int(value or 0)
-
-
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """A frame of checked size as a broadcast side, a larger one as it is. Meant
-    for frozen or stored frames, which are cheap to count."""
-    return F.broadcast(df) if at_most(df, rows) else df
-
-
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether the frame holds no more than this many rows; reads no further than needed."""
-    return df.limit(rows + 1).count() <= rows

@@ -41,18 +41,35 @@ def with_page_status(
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute inside a start tag, entities for & decoded."""
+    """Value of an attribute inside a start tag, entities decoded."""
     pattern = (
         rf"(?is)[\s\"']{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
     )
     value = F.concat(*[F.regexp_extract(tag, pattern, n) for n in (1, 2, 3)])
-    return F.nullif(F.replace(value, F.lit("&amp;"), F.lit("&")), F.lit(""))
+    return F.nullif(decode_entities(value), F.lit(""))
+
+
+def decode_entities(value: Column) -> Column:
+    """Named and numeric entities of printable ASCII characters, which is what addresses and
+    class names hold; others stay as they are. The ampersand comes last."""
+    named = {"quot": '"', "apos": "'", "lt": "<", "gt": ">", "sol": "/", "colon": ":"}
+    pairs = [(f"&(?:{n}|#0*{ord(c)}|#[xX]0*(?i:{ord(c):x}));", c) for n, c in named.items()]
+    pairs += [
+        (f"&#(?:0*{n}|[xX]0*(?i:{n:x}));", chr(n))
+        for n in range(33, 127) if chr(n) not in [*named.values(), "&"]
+    ]
+    decoded = value
+    for pattern, character in pairs:
+        shown = "\\" + character if character in "\\$" else character
+        decoded = F.regexp_replace(decoded, pattern, shown)
+    decoded = F.when(value.contains("&"), decoded).otherwise(value)
+    return F.regexp_replace(decoded, "&(?:amp|#0*38|#[xX]0*26);", "&")
 
 
 def anchors(html: Column) -> Column:
     """Start tags of the page's links in order, comments and scripts left out."""
     visible = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script>", "")
-    return F.regexp_extract_all(visible, F.lit(r"(?is)<a\s[^>]*>"), F.lit(0))
+    return F.regexp_extract_all(visible, F.lit(r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*+>"""), F.lit(0))
 
 
 def page_job_ids(

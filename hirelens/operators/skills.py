@@ -207,8 +207,9 @@ def vocabulary_key(name):
 
 
 def _first_by_key(candidates: DataFrame) -> DataFrame:
-    """First candidate of each skill name in arrival order, ignoring case."""
-    order = F.struct("job_id", "position")
+    """First candidate of each skill name in arrival order, ignoring case. Candidates of
+    one job and position follow each other by name and mention."""
+    order = F.struct("job_id", "position", "skill_name", "raw_mention")
     return candidates.groupBy(vocabulary_key("skill_name").alias("_key")).agg(
         F.min_by(F.struct("skill_name", "skill_category", "job_id", "position"), order).alias(
             "_row"
@@ -279,14 +280,16 @@ def alias_candidates(linked: DataFrame) -> DataFrame:
     )
     safe = both.filter(is_safe_alias(F.col("alias"), F.col("skill_name")))
     return safe.select(
-        lookup_key(F.col("alias")).alias("alias_name"), "skill_id", "job_id", "position", "kind"
+        lookup_key(F.col("alias")).alias("alias_name"), "skill_id", "job_id", "position", "kind",
+        "skill_name",
     )
 
 
 def new_aliases(existing: DataFrame, linked: DataFrame) -> DataFrame:
     """Aliases to add: the first skill to use a mention owns it."""
     return new_rows(
-        existing, alias_candidates(linked), ["alias_name"], ["job_id", "position", "kind"]
+        existing, alias_candidates(linked), ["alias_name"],
+        ["job_id", "position", "kind", "skill_name", "skill_id"],
     )
 
 
@@ -328,7 +331,7 @@ def upsert_links(
         rows,
         ["job_id", "skill_id"],
         ["extraction_method", "raw_mention", "confidence_score"],
-        ["position"],
+        ["position", "raw_mention", "confidence_score"],
         on_insert={"created_at": F.current_timestamp()},
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
-from hirelens.operators.keyed import broadcast_if_small
+from hirelens.operators.keyed import with_global_index
 from hirelens.session import freeze
 
 
@@ -42,13 +42,37 @@ def required_skills(demand: DataFrame, top: int = V.GAP_SKILLS) -> DataFrame:
     )
 
 
-# Requirements up to this size travel to the student rows as a broadcast.
-MAX_BROADCAST_REQUIREMENTS = 100_000
+def prepare_required(demand: DataFrame, top: int = V.GAP_SKILLS) -> DataFrame:
+    """The required skills computed once; the join strategy is left to adaptive execution."""
+    return freeze(required_skills(demand, top))
 
 
-def prepare_required(demand: DataFrame, top: int = V.GAP_SKILLS) -> DataFrame:
-    """The required skills computed once, and of checked size when broadcast."""
-    return broadcast_if_small(freeze(required_skills(demand, top)), MAX_BROADCAST_REQUIREMENTS)
+def role_skills(demand: DataFrame) -> DataFrame:
+    """Every skill of every role, once per name; of equal names the least demanded row counts.
+
+    The whole demand, without a limit: what a match score is taken from.
+    """
+    last = F.struct(-F.col("jobs_with_skill"), F.col("skill_name"), F.col("skill_id"))
+    rest = ["skill_category", "demand_percentage", "jobs_with_skill", "total_jobs_for_role"]
+    one = (
+        demand.filter(F.col("skill_name").isNotNull())
+        .groupBy("detected_role", skill_key(F.col("skill_name")).alias("skill_key"))
+        .agg(F.max_by(F.struct(F.trim("skill_name").alias("skill_name"), *rest), last).alias("_r"))
+    )
+    return one.select("detected_role", "skill_key", "_r.*")
+
+
+def ranked_role_skills(demand: DataFrame) -> DataFrame:
+    """Every skill of every role with its position from 1, most demanded first. Positions
+    come from range slices, so no task sorts a whole role."""
+    indexed = with_global_index(
+        role_skills(demand),
+        ["detected_role", F.col("jobs_with_skill").desc(), "skill_name", "skill_key"],
+    )
+    first = indexed.groupBy("detected_role").agg(F.min("_index").alias("_first"))
+    return indexed.join(first, "detected_role").withColumn(
+        "position", (F.col("_index") - F.col("_first") + 1).cast("int")
+    ).drop("_index", "_first")
 
 
 def matched_skills(
@@ -132,10 +156,45 @@ def missing_skills(
     )
 
 
+def first_missing_skills(
+    targets: DataFrame, student_skills: DataFrame, ranked: DataFrame, top: int = V.GAP_SKILLS
+) -> DataFrame:
+    """The first ``top`` skills each student lacks, of all skills the role asks for.
+
+    ``ranked`` is `ranked_role_skills`, stored. Who owns n of a role's skills finds the first
+    missing ones among its first top + n: only these positions are joined.
+    """
+    matched = matched_skills(targets, student_skills, ranked).select(
+        "student_id", "detected_role", "skill_key"
+    )
+    counts = matched.groupBy("student_id", "detected_role").agg(F.count("*").alias("_n"))
+    asked = (
+        targets.select("student_id", "detected_role").distinct()
+        .join(counts, ["student_id", "detected_role"], "left")
+        .withColumn(
+            "position", F.explode(F.sequence(F.lit(1), F.coalesce("_n", F.lit(0)) + top))
+        )
+        .withColumn("position", F.col("position").cast("int"))
+        .drop("_n")
+    )
+    lacking = asked.join(ranked, ["detected_role", "position"]).join(
+        matched, ["student_id", "detected_role", "skill_key"], "left_anti"
+    )
+    order = Window.partitionBy("student_id", "detected_role").orderBy("position")
+    return (
+        lacking.withColumn("learning_rank", F.row_number().over(order))
+        .filter(F.col("learning_rank") <= top)
+        .drop("position", "skill_key")
+    )
+
+
 def match_score(
     targets: DataFrame, student_skills: DataFrame, required: DataFrame
 ) -> DataFrame:
-    """Share of the role's demand that the student's skills cover, in percent."""
+    """Share of the role's demand that the student's skills cover, in percent.
+
+    ``required`` is the role's whole demand, `role_skills`, stored.
+    """
     total = required.groupBy("detected_role").agg(
         F.sum("demand_percentage").alias("_total")
     )
@@ -154,13 +213,12 @@ def match_score(
 
 
 def skill_combinations(
-    eligible: DataFrame, links: DataFrame, demand: DataFrame, top: int = V.GAP_SKILLS
+    eligible: DataFrame, links: DataFrame, demand: DataFrame
 ) -> DataFrame:
-    """How many jobs of a role ask for exactly which of its top skills together."""
-    wanted = top_role_skills(demand, top).select("detected_role", "skill_id", "skill_name")
+    """How many jobs of a role ask for exactly which skills together, all skills of a job."""
+    wanted = demand.select("detected_role", "skill_id", "skill_name")
     asked = (
         links.select("job_id", "skill_id")
-        .join(wanted.select("skill_id").distinct(), "skill_id", "left_semi")
         .join(eligible.select("job_id", "detected_role"), "job_id")
         .join(wanted, ["detected_role", "skill_id"])
     )

@@ -8,11 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
-from hirelens.operators.keyed import at_most, with_global_index
-
-# Ranking one role's skills sorts them in one task; beyond this many skills the
-# sort is spread over range slices instead.
-MAX_SKILLS_PER_SORT = 2_000_000
+from hirelens.operators.keyed import with_global_index
 
 STAGING_COLUMNS = {
     "stg_job_postings": [
@@ -137,19 +133,14 @@ def top_skills_by_role(
     links: DataFrame,
     skills: DataFrame,
     collation: str | None = None,
-    max_skills_per_sort: int = MAX_SKILLS_PER_SORT,
 ) -> DataFrame:
     """Skill demand and rank within each role."""
     demand = skill_demand(jobs, analysis, links, skills)
     by_name = F.collate("skill_name", collation) if collation else F.col("skill_name")
     order = [F.col("jobs_with_skill").desc(), by_name]
-    if at_most(skills, max_skills_per_sort):
-        window = Window.partitionBy("detected_role").orderBy(*order)
-        ranked = demand.withColumn("skill_rank", F.rank().over(window))
-    else:
-        ranked = sliced_rank(
-            demand, ["detected_role"], order, ["jobs_with_skill", "skill_name"], "skill_rank"
-        )
+    ranked = sliced_rank(
+        demand, ["detected_role"], order, ["jobs_with_skill", "skill_name"], "skill_rank"
+    )
     return ranked.select(
         "detected_role",
         "skill_id",

@@ -186,6 +186,6 @@ def refresh(
         )
         _append(closed, root, "pipeline_runs", run_id)
     except Exception as error:
-        _append(B.fail_run(opened, total, str(error)[:2000]), root, "pipeline_runs", run_id)
+        _append(B.fail_run(opened, total, str(error)), root, "pipeline_runs", run_id)
         raise
     return RefreshResult(run_id, counts["status"], tables, marts, checks)

@@ -82,12 +82,3 @@ def freeze(df):
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
-
-
-def spread(df):
-    """Share a few large input splits among idle cores before costly row work.
-
-    Inputs with enough splits, as any large input has, are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df

@@ -133,3 +133,16 @@ def test_novelty_follows_the_crawl(spark):
 
 def test_restricted_pages(column):
     assert column(["<p>Join LinkedIn now</p>", "ok"], P.is_restricted) == [True, False]
+
+
+def test_links_behind_quotes_and_entities(spark):
+    from hirelens.operators import pages as P
+
+    html = (
+        '<a title="x > y" class="base-card__full-link" href="/jobs/view/77/">a</a>'
+        '<a class="base-card__full-link" href="&#47;jobs&#x2F;view/78/">b</a>'
+        '<a class="base-card__full-link" href="/jobs/view/79/?a=1&amp;b=2">c</a>'
+    )
+    frame = spark.createDataFrame([(1, html)], "page_id int, html string")
+    found = P.page_links(frame, ["page_id"]).orderBy("position").collect()
+    assert [str(r.job_id) for r in found] == ["77", "78", "79"]

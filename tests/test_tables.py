@@ -1,5 +1,6 @@
 import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hirelens import schemas
@@ -104,8 +105,13 @@ def test_rank_over_slices_equals_window_rank(spark):
         F.col("id").alias("skill_id"), F.concat(F.lit("n"), F.col("id") % 4).alias("skill_name"),
         F.lit("Cloud").alias("skill_category"),
     )
-    window = marts.top_skills_by_role(jobs, analysis, links, skills)
-    sliced = marts.top_skills_by_role(jobs, analysis, links, skills, max_skills_per_sort=1)
+    sliced = marts.top_skills_by_role(jobs, analysis, links, skills)
+    order = Window.partitionBy("detected_role").orderBy(
+        F.col("jobs_with_skill").desc(), "skill_name"
+    )
+    window = marts.skill_demand(jobs, analysis, links, skills).withColumn(
+        "skill_rank", F.rank().over(order)
+    ).select(*sliced.columns)
     assert sorted(map(tuple, window.collect())) == sorted(map(tuple, sliced.collect()))
 
 
@@ -151,6 +157,43 @@ def test_match_score_worked_example(spark):
     assert [r.skill_name for r in missing] == ["PostgreSQL", "Docker", "Airflow", "Spark"]
 
 
+def test_gap_over_more_skills_than_shown(spark):
+    """A student who owns skills 16 to 30 of thirty: all of them count."""
+    frame = spark.createDataFrame(
+        [("data_engineer", i, f"skill {i:02}", "c", 100 - i, 100, 100.0 - i)
+         for i in range(1, 31)],
+        "detected_role string, skill_id int, skill_name string, skill_category string, "
+        "jobs_with_skill int, total_jobs_for_role int, demand_percentage double",
+    )
+    targets = spark.createDataFrame(
+        [(1, "data_engineer"), (2, "data_engineer")], "student_id int, detected_role string"
+    )
+    owned = spark.createDataFrame(
+        [(1, f"Skill {i:02}") for i in range(16, 31)] + [(2, f"skill {i:02}") for i in range(1, 16)],
+        "student_id int, skill string",
+    )
+    scores = gap.match_score(targets, owned, gap.role_skills(frame)).collect()
+    assert {r.student_id: r.match_score for r in scores} == {1: 45.56, 2: 54.44}
+    missing = gap.first_missing_skills(targets, owned, gap.ranked_role_skills(frame), 3)
+    got = {(r.student_id, r.learning_rank): r.skill_name for r in missing.collect()}
+    assert got == {(s, n): f"skill {first + n:02}" for s, first in [(1, 0), (2, 15)]
+                   for n in (1, 2, 3)}
+
+
+def test_skill_ties_do_not_depend_on_order(spark):
+    from hirelens.operators import skills as S
+
+    rows = [(1, 0, "Data Flow", "c", "data flow", None), (1, 0, "data flow", "c", "Data Flow", None)]
+    columns = ("job_id int, position int, skill_name string, skill_category string, "
+               "raw_mention string, confidence_score double")
+    stored = spark.createDataFrame(
+        [], "skill_id bigint, skill_name string, skill_category string, "
+        "created_at timestamp, updated_at timestamp")
+    for order in (rows, rows[::-1]):
+        found = S.upsert_skills(stored, spark.createDataFrame(order, columns).coalesce(1))
+        assert [r.skill_name for r in found.collect()] == ["Data Flow"]
+
+
 def test_checks_report_each_kind(spark):
     skills = spark.createDataFrame(
         [(1, "Pandas", "Cloud"), (2, "pandas", "Nope"), (2, None, None)],
