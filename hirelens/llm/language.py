@@ -24,7 +24,7 @@ ROUNDS = 3
 LONGEST_PIECE = 10
 LONGEST_RUN = 30  # letters of one word; longer runs are scored part by part
 UNSEEN = 1e-7
-CACHED_WORDS = 250_000
+CACHED_WORDS = 700_000
 MARK = "▁"  # the vocabulary's mark of a word's beginning
 LETTERS = re.compile(r"[^\W\d_]+")
 
