@@ -58,8 +58,9 @@ def remove_repeated(
 
     Returns one row per input row: `doc_id` (the key), `text` without the removed lines,
     `lines`, `removed_lines`, `removed` (spans of line numbers, from 0, end excluded). The
-    first occurrence, by key and then place, stays; a null key comes first, and of rows with
-    one key any may be first. A null text stays null and has no lines; an empty text has one
+    first occurrence, by key and then place, stays; a null key comes first, and rows of
+    one key follow each other by a hash of the text; rows repeated with key and text count as
+    one text and are treated alike. A null text stays null and has no lines; an empty text has one
     empty line. Chunks without a letter or digit stay. One-line chunks stay. An empty table
     gives an empty frame; other columns are not read.
 
@@ -116,52 +117,49 @@ def remove_repeated(
         .groupBy("doc_id", "same")
         .agg(F.collect_set(F.struct("start", "hash", "is_first")).alias("asked"))
     )
-    known = keep(
-        source.withColumn("copy", F.monotonically_increasing_id()).join(
-            asked.withColumnsRenamed({"doc_id": "k", "same": "s"}),
-            F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("same") == F.col("s")), "left",
-        ).drop("k", "s", "same"),
-        "line-texts",
-    )
+    same_text = F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("same") == F.col("s"))
+    known = source.join(
+        asked.withColumnsRenamed({"doc_id": "k", "same": "s"}), same_text
+    ).select("doc_id", "same", "text", "asked")
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["copy", "start", "stop", "hash", "is_first", "chunk"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.string()]
         for batch in batches:
-            out = []
-            for copy, body, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+            rows, out = [], []
+            for i, (body, wanted) in enumerate(
+                zip(batch.column("text").to_pylist(), batch.column("asked").to_pylist())
+            ):
                 at = {w["start"]: w for w in wanted}
                 for a, b, chunk in spans_of(body)[1]:
                     if a in at:
-                        w = at[a]
-                        out.append((copy, a, b, w["hash"], w["is_first"], chunk))
+                        rows.append(i)
+                        out.append((a, b, at[a]["hash"], at[a]["is_first"], chunk))
             if out:
+                kinds = [pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.string()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names
+                    [batch.column("doc_id").take(pa.array(rows)),
+                     batch.column("same").take(pa.array(rows)),
+                     *(pa.array(c, k) for c, k in zip(zip(*out), kinds))],
+                    names=["doc_id", "same", "start", "stop", "hash", "is_first", "chunk"],
                 )
 
     candidates = keep(
-        known.filter("asked is not null").select("copy", "text", "asked").mapInArrow(
-            bodies, "copy bigint, start int, stop int, hash bigint, is_first boolean, chunk string"
+        known.mapInArrow(
+            bodies, f"doc_id {kind}, same bigint, start int, stop int, hash bigint, "
+            "is_first boolean, chunk string"
         ),
         "line-candidates",
     )
-    # rows that repeat key and text are first together; one of them really is
-    firsts = candidates.filter("is_first").groupBy("hash").agg(
-        F.min(F.struct("copy", "start")).alias("at"), F.min("chunk").alias("bytes")
-    )
+    firsts = candidates.filter("is_first").groupBy("hash").agg(F.min("chunk").alias("bytes"))
     removed = (
-        candidates.join(firsts, "hash")
+        candidates.filter("not is_first")
+        .join(firsts, "hash")
         .filter(F.col("chunk") == F.col("bytes"))
-        .filter(F.struct("copy", "start") != F.col("at"))
-        .groupBy("copy")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("removed"))
+        .groupBy(F.col("doc_id").alias("k"), F.col("same").alias("s"))
+        .agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("removed"))
     )
     lines = F.split("text", "\n")
     spans = F.coalesce("removed", F.expr("array()").cast("array<struct<start:int,stop:int>>"))
-    joined = known.select("copy", "doc_id", "text").join(removed, "copy", "left").withColumn(
-        "removed", spans
-    )
+    joined = source.join(removed, same_text, "left").withColumn("removed", spans)
     gone = F.aggregate("removed", F.lit(0), lambda n, s: n + s["stop"] - s["start"])
     # the lines between removed spans
     starts = F.concat(F.array(F.lit(0)), F.transform("removed", lambda s: s["stop"]))
