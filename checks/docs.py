@@ -297,8 +297,8 @@ MISSING = "array_to_string(list_filter([" + ", ".join(
 
 @query(f"SELECT position, {MISSING} AS missing FROM raw_records", "raw_records")
 def missing_fields(spark, d):
-    return b.raw_records(spark, d).select(
-        "position", F.array_join(S.missing_fields(F.col("raw_payload")), ",").alias("missing")
+    return S.with_missing_fields(b.raw_records(spark, d)).select(
+        "position", F.array_join("missing_fields", ",").alias("missing")
     )
 
 
@@ -492,6 +492,16 @@ def seniority_dist(spark, d):
     return rows.withColumn("percentage", F.col("percentage").cast("double"))
 
 
+@query("""SELECT j.detected_role, c.seniority, count(*) AS jobs, round(CAST(count(*) * 100.0
+         / sum(count(*)) OVER (PARTITION BY j.detected_role) AS DOUBLE), 2) AS percentage
+FROM classed c JOIN judged j ON c.job_id = j.job_id
+WHERE j.detected_role IS NOT NULL AND j.exclusion_word IS NULL GROUP BY 1, 2""",
+       "classed", "judged")
+def seniority_by_role(spark, d):
+    rows = explore.seniority_by_role(b.doc_jobs(spark, d), _analysis(spark, d))
+    return rows.withColumn("percentage", F.col("percentage").cast("double"))
+
+
 @query("""SELECT c.seniority, l.skill_id, count(DISTINCT c.job_id) AS jobs_with_skill, s.skill_name
 FROM classed c JOIN links l ON c.job_id = l.job_id JOIN skills s ON s.skill_id = l.skill_id
 GROUP BY 1, 2, 4""", "classed", "links", "skills")

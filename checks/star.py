@@ -152,6 +152,13 @@ def category_distribution(spark, d):
     return explore.category_distribution(b.skills(spark, d))
 
 
+@query("""SELECT skill_id, skill_name, skill_category FROM skills
+WHERE skill_category IS NULL OR skill_category NOT IN ('ECONOMY', 'STANDARD', 'LARGE')""",
+       "skills")
+def invalid_categories(spark, d):
+    return explore.invalid_categories(b.skills(spark, d), ["ECONOMY", "STANDARD", "LARGE"])
+
+
 @query("""SELECT s.skill_name, s.skill_category, count(DISTINCT l.job_id) AS job_count
 FROM skills s JOIN links l ON s.skill_id = l.skill_id GROUP BY 1, 2 ORDER BY 3 DESC, 1""",
        "skills", "links")

@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from html.parser import HTMLParser
 
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta source track wbr".split()
 )
+# a start tag ends the open elements it lists, unless one of the containers was opened since
+_LISTS, _CELLS = ("ul", "ol", "menu"), ("table", "tr")
+_BLOCKS = ("div", "section", "article", "li", "dd", "dt", "td", "th", "button", "blockquote")
+IMPLIED_ENDS = {
+    "li": (("li",), _LISTS),
+    "p": (("p",), _BLOCKS),
+    "dt": (("dt", "dd"), ("dl",)),
+    "dd": (("dt", "dd"), ("dl",)),
+    "option": (("option",), ("select",)),
+    "tr": (("tr",), ("table",)),
+    "td": (("td", "th"), _CELLS),
+    "th": (("td", "th"), _CELLS),
+}
 
 
 class _Capture:
@@ -31,6 +45,7 @@ class PageReader(HTMLParser):
         self.markup: dict[str, str] = {}
         self.criteria: dict[str, str] = {}
         self._open: list[str] = []
+        self._depths: dict[str, list[int]] = defaultdict(list)  # open elements by tag
         self._captures: list[_Capture] = []
         self._item: dict[str, str] | None = None
         self._item_depth = 0
@@ -52,7 +67,16 @@ class PageReader(HTMLParser):
         line, column = self.getpos()
         return self._lines[line - 1] + column
 
+    def _innermost(self, tags: Sequence[str]) -> int:
+        return max((self._depths[t][-1] for t in tags if self._depths[t]), default=-1)
+
     def handle_starttag(self, tag, attrs):
+        if tag in IMPLIED_ENDS:
+            ended, containers = IMPLIED_ENDS[tag]
+            depth = self._innermost(ended)
+            if depth > self._innermost(containers):
+                while len(self._open) > depth:
+                    self._close_top(self._offset())
         given = dict(attrs)
         classes = (given.get("class") or "").split()
         start = self._offset()
@@ -78,6 +102,7 @@ class PageReader(HTMLParser):
                     self._item[part] = ""
                     self._captures.append(_Capture(part, "criteria", len(self._open), start))
         if tag not in VOID_TAGS:
+            self._depths[tag].append(len(self._open))
             self._open.append(tag)
 
     def handle_startendtag(self, tag, attrs):
@@ -86,7 +111,7 @@ class PageReader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag not in self._open:
+        if not self._depths[tag]:
             return
         end = self._source.find(">", self._offset()) + 1
         while self._open:
@@ -96,7 +121,7 @@ class PageReader(HTMLParser):
                 break
 
     def _close_top(self, end: int) -> None:
-        self._open.pop()
+        self._depths[self._open.pop()].pop()
         depth = len(self._open)
         while self._captures and self._captures[-1].depth == depth:
             capture = self._captures.pop()

@@ -13,6 +13,7 @@ from hirelens.operators.keyed import assign_ids, largest_id
 KEY = ["source_name", "source_job_id"]
 SKIPPED, INSERTED, FAILED = "skipped_duplicate", "inserted", "failed"
 
+UNREADABLE = "record is not valid JSON"
 MISSING_SOURCE = "missing source_name"
 MISSING_PAYLOAD = "missing raw_payload dictionary"
 MISSING_JOB_ID = "missing raw_payload.job_id"
@@ -27,7 +28,18 @@ def with_keys(records: DataFrame) -> DataFrame:
 
 
 def with_reject_reason(records: DataFrame) -> DataFrame:
-    """Add source_job_id and the first validation message, NULL for a good record."""
+    """Add source_job_id and the first validation message, NULL for a good record.
+
+    Text that could not be read as a record, in ``unreadable``, becomes the payload of a
+    rejected one.
+    """
+    readable = F.lit(True)
+    if "unreadable" in records.columns:
+        text = F.coalesce("unreadable", "raw_payload")
+        records = records.withColumns(
+            {"raw_payload": text, "_readable": F.col("unreadable").isNull()}
+        ).drop("unreadable")
+        readable = F.col("_readable")
     parsed = with_computed(records, {"_payload": payload.parse(F.col("raw_payload"))})
     is_object = F.col("raw_payload").rlike(r"^[ \t\r\n]*\{") & F.col("_payload").isNotNull()
     keyed = with_computed(
@@ -38,11 +50,14 @@ def with_reject_reason(records: DataFrame) -> DataFrame:
         },
     )
     reason = (
-        F.when(F.coalesce("source_name", F.lit("")) == "", MISSING_SOURCE)
+        F.when(~readable, UNREADABLE)
+        .when(F.coalesce("source_name", F.lit("")) == "", MISSING_SOURCE)
         .when(~F.col("_is_object"), MISSING_PAYLOAD)
         .when(F.coalesce("source_job_id", F.lit("")) == "", MISSING_JOB_ID)
     )
-    return keyed.withColumn("reject_reason", reason).drop("_payload", "_is_object")
+    return keyed.withColumn("reject_reason", reason).drop(
+        "_payload", "_is_object", "_readable"
+    )
 
 
 def with_content_hash(records: DataFrame) -> DataFrame:

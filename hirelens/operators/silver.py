@@ -124,14 +124,18 @@ def upsert_postings(existing: DataFrame, rows: DataFrame) -> DataFrame:
 # --- completeness of raw records --------------------------------------------
 
 
-def missing_fields(raw: Column, fields: list[str] | None = None) -> Column:
-    """Names of required payload fields that are absent, null or empty."""
-    variant = payload.parse(raw)
+def with_missing_fields(
+    records: DataFrame, raw: str = "raw_payload", fields: list[str] | None = None
+) -> DataFrame:
+    """Add missing_fields: required payload fields that are absent, null or empty. The
+    payload is parsed once."""
+    parsed = with_computed(records, {"_payload": payload.parse(F.col(raw))})
     tests = [
-        F.when(_falsy(payload.field(variant, name)), F.lit(name))
+        F.when(_falsy(payload.field(F.col("_payload"), name)), F.lit(name))
         for name in (fields or V.REQUIRED_PAYLOAD_FIELDS)
     ]
-    return F.array_compact(F.array(*tests))
+    missing = {"missing_fields": F.array_compact(F.array(*tests))}
+    return with_computed(parsed, missing).drop("_payload")
 
 
 def _falsy(text: Column) -> Column:
@@ -140,7 +144,7 @@ def _falsy(text: Column) -> Column:
 
 def split_by_completeness(records: DataFrame, keep_partial: bool = False) -> DataFrame:
     """Add missing_fields, status and whether the record is saved."""
-    checked = records.withColumn("missing_fields", missing_fields(F.col("raw_payload")))
+    checked = with_missing_fields(records)
     complete = F.size("missing_fields") == 0
     return checked.withColumns(
         {

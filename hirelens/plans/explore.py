@@ -20,10 +20,12 @@ def category_distribution(skills: DataFrame) -> DataFrame:
     )
 
 
-def invalid_categories(skills: DataFrame) -> DataFrame:
-    return skills.filter(~F.col("skill_category").isin(V.SKILL_CATEGORIES)).select(
-        "skill_id", "skill_name", "skill_category"
-    )
+def invalid_categories(
+    skills: DataFrame, known: Sequence[str] = V.SKILL_CATEGORIES
+) -> DataFrame:
+    """Skills whose category is not one of the known ones; a missing category is not known."""
+    valid = F.coalesce(F.col("skill_category").isin(list(known)), F.lit(False))
+    return skills.filter(~valid).select("skill_id", "skill_name", "skill_category")
 
 
 def skill_listing(skills: DataFrame) -> DataFrame:
@@ -183,6 +185,23 @@ def seniority_distribution(jobs: DataFrame) -> DataFrame:
     return counts.withColumn("percentage", F.round(share, 2))
 
 
+def seniority_by_role(jobs: DataFrame, analysis: DataFrame) -> DataFrame:
+    """Jobs per role and documented seniority class, and the class's share of its role.
+    Jobs without a role, or left out of the analysis, do not count."""
+    classed = with_seniority(jobs).select("job_id", "seniority")
+    roles = analysis.filter(
+        F.col("detected_role").isNotNull() & ~F.col("is_excluded_from_analysis")
+    ).select("job_id", "detected_role")
+    counts = (
+        classed.join(roles, "job_id")
+        .groupBy("detected_role", "seniority")
+        .agg(F.count("*").alias("jobs"))
+    )
+    role = Window.partitionBy("detected_role")  # at most five class rows a role
+    share = F.col("jobs") * 100.0 / F.sum("jobs").over(role)
+    return counts.withColumn("percentage", F.round(share, 2))
+
+
 def skill_counts_by_seniority(jobs: DataFrame, links: DataFrame, skills: DataFrame) -> DataFrame:
     classed = with_seniority(jobs).select("job_id", "seniority")
     counted = (

@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # pages and texts differ widely in length: bound what a Python worker holds at once
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # first-n-per-group limits are applied before the shuffle up to this n
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelens import schemas
 
@@ -13,13 +14,19 @@ def read_raw_records(spark: SparkSession, path: str, layout: str = "array") -> D
 
     ``array`` reads files holding one JSON array each (a file is one task, so
     keep large loads in many files); ``lines`` reads splittable JSON lines.
-    ``raw_payload`` keeps the JSON text of the payload.
+    ``raw_payload`` keeps the JSON text of the payload. A line, or a whole array file,
+    that is no JSON becomes one row with its text in ``unreadable``.
     """
     if layout not in ("array", "lines"):
         raise ValueError(f"unknown layout: {layout}")
-    reader = spark.read.schema(schemas.RAW_RECORD).option("mode", "FAILFAST")
-    records = reader.json(path, multiLine=layout == "array")
-    return with_position(records)
+    return with_position(json_records(spark.read, path, layout))
+
+
+def json_records(reader, path: str, layout: str) -> DataFrame:
+    """Records of a batch or streaming reader; text that is no JSON stands in ``unreadable``."""
+    schema = T.StructType([*schemas.RAW_RECORD, T.StructField("unreadable", T.StringType())])
+    reader = reader.schema(schema).option("columnNameOfCorruptRecord", "unreadable")
+    return reader.json(path, mode="PERMISSIVE", multiLine=layout == "array")
 
 
 def with_position(records: DataFrame) -> DataFrame:

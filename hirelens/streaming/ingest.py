@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens import schemas
 from hirelens.operators.bronze import (
     KEY,
     fresh_positions,
@@ -19,7 +18,7 @@ from hirelens.operators.bronze import (
     with_reject_reason,
 )
 from hirelens.session import stage
-from hirelens.sources.raw_records import with_position
+from hirelens.sources.raw_records import json_records, with_position
 
 STORED = "source_name STRING, source_job_id STRING, source_url STRING, scraped_at STRING, " \
          "raw_payload STRING, content_hash STRING, batch_id BIGINT"
@@ -69,10 +68,8 @@ def load_new_files(
     files_per_batch: int = 1000,
 ) -> None:
     """Load every file that arrived since the last call, then stop."""
-    reader = spark.readStream.schema(schemas.RAW_RECORD).option("mode", "FAILFAST")
-    stream = reader.option("maxFilesPerTrigger", files_per_batch).json(
-        input_dir, multiLine=layout == "array"
-    )
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    stream = json_records(reader, input_dir, layout)
     query = (
         stream.writeStream.foreachBatch(lambda df, n: load_batch(df, n, root))
         .option("checkpointLocation", f"{root}/_progress")

@@ -225,6 +225,31 @@ def test_stream_equals_batch_and_is_idempotent(spark, tmp_path):
     assert ingest.stored(spark, root).count() == len(got)
 
 
+def test_broken_records_are_rejected(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    root = str(tmp_path / "store")
+    good = [json.dumps(FIRST[0]), json.dumps(FIRST[1])]
+    (source / "a.json").write_text("\n".join([good[0], '{"source_name": "board", ', good[1]]),
+                                   encoding="utf-8")
+    checked = B.with_reject_reason(
+        raw_records.read_raw_records(spark, str(source / "a.json"), "lines")
+    ).orderBy("position")
+    rows = checked.collect()
+    assert [r.reject_reason for r in rows] == [None, B.UNREADABLE, None]
+    assert rows[1].raw_payload == '{"source_name": "board", '
+    ingest.load_new_files(spark, str(source), root, "lines")
+    (source / "b.json").write_text('[{"source_name"', encoding="utf-8")
+    ingest.load_new_files(spark, str(source), root, "lines")
+    keys = {(r.source_name, r.source_job_id) for r in rows if not r.reject_reason}
+    assert {(r.source_name, r.source_job_id) for r in ingest.stored(spark, root).collect()} == keys
+    refused = ingest.rejected(spark, root).collect()
+    assert {r.reject_reason for r in refused} == {B.UNREADABLE}
+    assert {r.raw_payload for r in refused} == {'{"source_name": "board", ', '[{"source_name"'}
+    array = raw_records.read_raw_records(spark, str(source / "b.json"))
+    assert [r.reject_reason for r in B.with_reject_reason(array).collect()] == [B.UNREADABLE]
+
+
 def test_json_sink_round_trip(spark, tmp_path):
     frame = raw_records.read_raw_records(spark, write(tmp_path / "a.json", FIRST[:3]))
     raw_records.write_records(frame, str(tmp_path / "out"))

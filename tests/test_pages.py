@@ -1,4 +1,5 @@
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -51,6 +52,31 @@ def test_page_payload():
     assert read_payload("<p>unclosed <h1", V.PAGE_SELECTORS, CRITERIA)["title"] is None
 
 
+def test_implied_end_tags():
+    item, key, value = (f'class="description__job-criteria-{c}"' for c in
+                        ("item", "subheader", "text"))
+    html = (
+        f"<ul><li {item}><h3 {key}>A</h3><span {value}>x</span>"
+        f"<li {item}><h3 {key}>B</h3><b><span {value}>y</span><ul><li>inner<li>list</ul>"
+        f"<li {item}><h3 {key}>C</h3><span {value}>z</span></ul>"
+        "<table><tr><td>1<td><h1 class='top-card-layout__title topcard__title'>T<tr><td>2</table>"
+    )
+    got = read_payload(html, V.PAGE_SELECTORS, CRITERIA)
+    assert got["criteria"] == {"a": "x", "b": "y", "c": "z"}
+    assert got["title"] == "T"
+
+
+def test_unclosed_tags_take_linear_time():
+    def seconds(html):
+        started = time.perf_counter()
+        read_payload(html, V.PAGE_SELECTORS, CRITERIA)
+        return time.perf_counter() - started
+
+    for part in ("<p>x</q>", "<b>x</q>", "<p><b>x</i>", "<li><div><p>"):
+        few, many = part * 2_000, part * 20_000
+        assert seconds(many) < 40 * max(seconds(few), 0.005)
+
+
 def test_pages_become_records_and_postings(spark):
     pages = spark.createDataFrame(
         [(1, "https://a/?currentJobId=5", "<p>x</p>"), (2, "https://b", PAGE)],
