@@ -187,10 +187,10 @@ def long_mentions(spark, d):
 
 
 @query("""SELECT lower(skill_name) AS normalized_skill_name, count(*) AS row_count,
-       string_agg(DISTINCT skill_name, ', ' ORDER BY skill_name) AS variants
+       string_agg(skill_name, ', ' ORDER BY skill_name) AS variants
 FROM skills GROUP BY 1 HAVING count(*) > 1""", "skills")
 def case_duplicates(spark, d):
-    return quality.case_variants(b.skills(spark, d), "skill_name")
+    return quality.case_variants(b.skills(spark, d), "skill_name", repeats=True)
 
 
 @query("""SELECT skill_category, skill_name FROM skills ORDER BY 1, 2""", "skills")

@@ -45,21 +45,32 @@ def one_row(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("total_rows")).filter("total_rows <> 1")
 
 
-def case_variants(df: DataFrame, column: str, trim: bool = False) -> DataFrame:
-    """Names equal but for case, with row count and the list of spellings.
+def case_variants(
+    df: DataFrame, column: str, trim: bool = False, repeats: bool = False
+) -> DataFrame:
+    """Names equal but for case, with row count and the list of spellings, largest first.
 
-    Equal spellings are counted first, so only distinct spellings are listed.
+    Equal spellings are counted before the names meet, so that a common one is one row.
+    Each is listed once, or with `repeats` as often as it occurs.
     """
     spelled = df.filter(F.col(column).isNotNull()).groupBy(column)
     counted = spelled.agg(F.count("*").alias("_rows"))
     key = F.lower(F.trim(column)) if trim else F.lower(column)
+    spellings = F.array_sort(F.collect_list(F.struct(F.col(column).alias("name"), "_rows")))
+    listed = F.flatten(
+        F.transform(
+            spellings,
+            lambda s: F.array_repeat(s["name"], s["_rows"].cast("int") if repeats else F.lit(1)),
+        )
+    )
     return (
         counted.groupBy(key.alias("normalized_skill_name"))
         .agg(
             F.sum("_rows").alias("row_count"),
-            F.array_join(F.array_sort(F.collect_set(column)), ", ").alias("variants"),
+            F.array_join(listed, ", ").alias("variants"),
         )
         .filter("row_count > 1")
+        .orderBy(F.col("row_count").desc(), "normalized_skill_name")
     )
 
 

@@ -209,6 +209,10 @@ def test_checks_report_each_kind(spark):
     assert rows(Q.case_variants(skills, "skill_name"), "row_count") == [
         ("pandas", 2, "Pandas, pandas")
     ]
+    names = spark.createDataFrame([(n,) for n in ("b", "a", "A", "a", "c", "B")], "name string")
+    assert list(map(tuple, Q.case_variants(names, "name", repeats=True).collect())) == [
+        ("a", 3, "A, a, a"), ("b", 2, "B, b")
+    ]
 
 
 def test_latest_run_row_wins(spark):
