@@ -498,7 +498,8 @@ FROM classed c JOIN judged j ON c.job_id = j.job_id
 WHERE j.detected_role IS NOT NULL AND j.exclusion_word IS NULL GROUP BY 1, 2""",
        "classed", "judged")
 def seniority_by_role(spark, d):
-    rows = explore.seniority_by_role(b.doc_jobs(spark, d), _analysis(spark, d))
+    analysis = stage(_analysis(spark, d), "analysis")  # a stored table, as in a refresh
+    rows = explore.seniority_by_role(b.doc_jobs(spark, d), analysis)
     return rows.withColumn("percentage", F.col("percentage").cast("double"))
 
 
