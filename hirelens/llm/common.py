@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,6 +33,23 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_learned: dict[str, Any] = {}
+
+
+def learned(name: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker has learned under a name, shared by the tasks of a stage. Workers
+    outlive stages, so one keeps a single thing: another name drops it."""
+    if name not in _learned:
+        _learned.clear()
+        _learned[name] = make()
+    return _learned[name]
+
+
+def forget() -> None:
+    """Free what earlier stages have left in this Python worker."""
+    _learned.clear()
+
+
 def numbered(df: DataFrame, name: str, column: str = "row") -> DataFrame:
     """Rows with a unique number, written once so that every reader sees the same one."""
     return keep(df.withColumn(column, F.monotonically_increasing_id()), name)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import bounded_batches, keep, words_of
+from hirelens.llm.common import bounded_batches, forget, keep, words_of
 from hirelens.llm.fingerprints import WordHashes, shingle_hashes
 
 THRESHOLD = 0.8
@@ -87,6 +87,7 @@ def _signatures(docs: DataFrame, bands: int, rows: int, shingle: int) -> DataFra
     )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         words, hasher = WordHashes(), MinHasher(bands, rows)
         for batch in batches:
             counts, hashes = [], []
@@ -282,6 +283,7 @@ def near_duplicates(
     bounded_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         words = WordHashes()
         for batch in batches:
             sets = [shingle_set(t, words, shingle).tobytes()

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import bounded_batches
+from hirelens.llm.common import bounded_batches, learned
 
 TEXTS_PER_LANGUAGE = 400
 ROUNDS = 3
@@ -207,17 +207,6 @@ class _Scorer:
         return out
 
 
-_kept: dict[str, _Scorer] = {}
-
-
-def _scorer(name: str, pieces: dict[str, int], table: np.ndarray) -> _Scorer:
-    """The scorer of one run: a worker's tasks share what it has learned."""
-    if name not in _kept:
-        _kept.clear()
-        _kept[name] = _Scorer(pieces, table)
-    return _kept[name]
-
-
 def predict(
     docs: DataFrame, languages: list[str], pieces: dict[str, int], table: np.ndarray,
     text: str = "text",
@@ -238,7 +227,7 @@ def predict(
 
     def score(batches):
         languages, pieces, table = model.value
-        scorer = _scorer(name, pieces, table)
+        scorer = learned(name, lambda: _Scorer(pieces, table))
         for batch in batches:
             sums = scorer.texts([t or "" for t in batch.column("text").to_pylist()])
             names, scores = [], []

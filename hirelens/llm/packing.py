@@ -12,7 +12,6 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import bounded_batches, keep, ranked, slices_for
+from hirelens.llm.common import bounded_batches, keep, learned, ranked, slices_for
 
 MOST_TOKENS = 4096
 END_ID = 2
@@ -43,7 +42,6 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in printable else next(others)) for b in range(256)}
 
 
-@lru_cache(maxsize=1)  # a worker's tasks share what it has learned
 def _encoder(path: str):
     """Token ids of whole texts as little-endian unsigned 32-bit numbers.
 
@@ -110,7 +108,7 @@ def tokenize(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = _encoder(tokenizer_path)
+        encode = learned(tokenizer_path, lambda: _encoder(tokenizer_path))
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out = []

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelens.llm.common import bounded_batches, words_of
+from hirelens.llm.common import bounded_batches, learned, words_of
 from hirelens.llm.fingerprints import WordHashes, shingle_hashes
 from hirelens.llm.language import held_out
 
@@ -219,17 +219,6 @@ class _Scorer:
         return 1 - math.exp(none), found
 
 
-_kept: dict[str, _Scorer] = {}
-
-
-def _scorer(name: str, model: dict) -> _Scorer:
-    """The scorer of one run: a worker's tasks share what it has learned."""
-    if name not in _kept:
-        _kept.clear()
-        _kept[name] = _Scorer(model)
-    return _kept[name]
-
-
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """Add `score` (0 to 1) and `offending` sentences to every row, which becomes `doc`.
 
@@ -253,7 +242,7 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     name = uuid.uuid4().hex
 
     def run(batches):
-        scorer = _scorer(name, shared.value)
+        scorer = learned(name, lambda: _Scorer(shared.value))
         for batch in batches:
             out = [scorer.score(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
