@@ -52,7 +52,7 @@ def op2_sharding(spark, d):
 
 @query()
 def op3_line_dedup(spark, d):
-    cleaned = line_chunks.remove_repeated(read_table(spark, d, "documents"))
+    cleaned = line_chunks.remove_repeated_runs(read_table(spark, d, "documents"))
     return cleaned.select("doc_id", "text", "lines", "removed_lines", "removed")
 
 

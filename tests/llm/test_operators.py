@@ -140,6 +140,76 @@ def test_boundaries_move_with_the_text():
     assert len(ends & moved) > 0.9 * len(ends)
 
 
+def brute_runs(rows):
+    """Lines that go: of runs of at least two lines seen before, and long lines seen before."""
+    seen, gone = {}, {}
+    for key, text in sorted(rows):
+        lines, own = text.split("\n"), set()
+        for a, b in sorted((a, a + n) for n in (1, 2) for a in range(len(lines) - n + 1)):
+            run = tuple(lines[a:b])
+            if not any(c.isalnum() for line in run for c in line):
+                continue
+            if b - a == 1 and len(lines[a].split()) <= 50:
+                continue
+            first = seen.setdefault(run, (key, a))
+            if first[0] != key or a >= first[1] + b - a:
+                own |= set(range(a, b))
+        gone[key] = own
+    return gone
+
+
+def lines_gone(rows):
+    return {r["doc_id"]: {n for s in r["removed"] for n in range(s["start"], s["stop"])}
+            for r in rows}
+
+
+def test_repeated_runs_go_at_any_place(spark):
+    draw = random.Random(15)
+    shared = {n: [[prose(5000 + 100 * n + 10 * k + j, 8) for j in range(n)] for k in range(6)]
+              for n in range(2, 6)}
+    rows, planted, number = [], {}, 0
+    for n, passages in shared.items():
+        for passage in passages:
+            for _ in range(3):
+                before = [prose(90000 + 20 * number + j, 6) for j in range(draw.randrange(0, 6))]
+                after = [prose(90010 + 20 * number + j, 6) for j in range(draw.randrange(0, 6))]
+                planted[number] = (n, len(before))
+                rows.append((number, "\n".join(before + passage + after)))
+                number += 1
+    found = line_chunks.remove_repeated_runs(make(spark, rows)).collect()
+    gone = lines_gone(found)
+    assert gone == brute_runs(rows)
+    text = dict(rows)
+    for r in found:
+        n, at = planted[r["doc_id"]]
+        assert gone[r["doc_id"]] == (set(range(at, at + n)) if r["doc_id"] % 3 else set())
+        kept = [t for i, t in enumerate(text[r["doc_id"]].split("\n"))
+                if i not in gone[r["doc_id"]]]
+        assert (r["text"], r["removed_lines"]) == ("\n".join(kept), len(gone[r["doc_id"]]))
+    # the chunk rule alone loses most of them
+    chunks = lines_gone(line_chunks.remove_repeated(make(spark, rows)).collect())
+    assert sum(map(len, chunks.values())) < 0.5 * sum(map(len, gone.values()))
+
+
+def test_runs_with_gaps_and_long_lines(spark):
+    long, short = prose(1, 51), prose(2, 50)
+    rows = [
+        (1, f"{long}\na\n{short}\nb"), (2, f"c\n{long}\nd"), (3, f"e\n{short}\nf"),
+        (4, "head\n\n---\n\ntail"), (5, "g\nhead\n\n---\n\ntail\nh"), (6, "\n---\n"),
+        (7, "x\nx\nx"), (8, "y\ny\ny\ny"),
+    ]
+    gone = lines_gone(line_chunks.remove_repeated_runs(make(spark, rows)).collect())
+    assert gone == {1: set(), 2: {1}, 3: set(), 4: set(), 5: {1, 2, 3, 4, 5}, 6: set(),
+                    7: set(), 8: {2, 3}}
+
+
+def test_colliding_line_hashes_are_salted_again(spark):
+    rows = [(i, f"{prose(i // 2, 4)}\n{prose(800 + i // 2, 4)}") for i in range(12)]
+    found = line_chunks.remove_passages(
+        make(spark, rows), line_chunks.run_passages, bits=5).collect()
+    assert lines_gone(found) == {i: {0, 1} if i % 2 else set() for i in range(12)}
+
+
 # --- fingerprints ---------------------------------------------------------------
 
 
