@@ -290,6 +290,39 @@ def safe_alias(spark, d):
     )
 
 
+b.VIEWS["rule_items"] = """
+SELECT DISTINCT item FROM (
+  SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS item FROM documents
+  UNION ALL SELECT unnest(regexp_extract_all(text, '[^.\\n]+')) FROM documents
+  UNION ALL SELECT p_name FROM part UNION ALL SELECT p_type FROM part) WHERE item IS NOT NULL"""
+
+
+def rule_items(spark, d):
+    """Every word and sentence of the texts and every part name and type, each once."""
+    text, part = b.texts(spark, d, "documents", "text"), b.table(spark, d, "part")
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    sentences = F.regexp_extract_all("text", F.lit(r"[^.\n]+"), F.lit(0))
+    items = text.select(F.explode(F.array_distinct(F.concat(words, sentences))).alias("item"))
+    for column in ("p_name", "p_type"):
+        items = items.unionAll(part.select(F.col(column).alias("item")))
+    return items.filter("item is not null").distinct()
+
+
+@query(f"""SELECT item, lower(coalesce({sql_collapse('item')}, '')) AS skill_key,
+       {sql_name('item')} AS skill_name, {sql_category(sql_name('item'), 'item')} AS skill_category,
+       {sql_rejected(sql_name('item'))} AS is_rejected, {sql_safe('item', "'database'")} AS is_safe
+FROM rule_items""", "rule_items")
+def skill_rules_all(spark, d):
+    """The scalar rules on all items, where the queries above see one or two per document."""
+    item, name = F.col("item"), SK.normalize_name(F.col("item"))
+    return rule_items(spark, d).select(
+        "item", T.lookup_key(item).alias("skill_key"), name.alias("skill_name"),
+        SK.normalize_category(name, item).alias("skill_category"),
+        SK.is_rejected(name).alias("is_rejected"),
+        SK.is_safe_alias(item, F.lit("database")).alias("is_safe"),
+    )
+
+
 # --- responses -----------------------------------------------------------------------
 
 

@@ -227,3 +227,20 @@ def test_strip_html(column):
     assert column([html, "<!-- x --><style>p{}</style>a &amp;lt; b"], strip_html) == [
         "We are looking for Data Engineer & Python developer...", "a &lt; b"
     ]
+
+
+def test_rules_see_every_word_sentence_and_part(spark, tmp_path):
+    from checks import vocab
+
+    texts = spark.createDataFrame([(1, "One two three. Teamwork helps\nR"), (2, None)],
+                                  "doc_id bigint, text string")
+    parts = spark.createDataFrame([(1, "blue bolt", "SQL"), (2, "red nut", None)],
+                                  "p_partkey bigint, p_name string, p_type string")
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    rows = vocab.skill_rules_all(spark, str(tmp_path)).collect()
+    assert sorted(r["item"] for r in rows) == sorted([
+        "one", "two", "three", "teamwork", "helps", "r", "One two three", " Teamwork helps", "R",
+        "blue bolt", "red nut", "SQL",
+    ])
+    assert {r["item"] for r in rows if r["is_rejected"]} == {"teamwork", "r"}
