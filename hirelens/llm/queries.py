@@ -37,7 +37,10 @@ def op1_packing(spark, d):
 
 @query()
 def op2_sharding(spark, d):
-    placed = sharding.shuffle_into_shards(read_table(spark, d, "documents"))
+    path = scratch_path(spark, "shards")
+    shuffled = sharding.shuffle_into_shards(read_table(spark, d, "documents"))
+    sharding.write_shards(shuffled, path)
+    placed = sharding.read_shards(spark, path, shuffled.schema)
     text = F.coalesce(F.col("doc.text"), F.lit(""))
     return placed.select(
         "doc.doc_id",

@@ -11,7 +11,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,4 +87,12 @@ def shuffle_into_shards(
 def write_shards(placed: DataFrame, path: str) -> None:
     """Write a folder per shard with the documents and their slots; files of a shard are
     runs of slots. Goes through Spark's file commit, so a lost task leaves nothing behind."""
-    placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    (
+        placed.sortWithinPartitions("shard", "slot")
+        .write.option("compression", "zstd").partitionBy("shard").parquet(path)
+    )
+
+
+def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What `write_shards` wrote of a frame with this schema, the shard read from its folder."""
+    return spark.read.schema(schema).parquet(path)

@@ -11,8 +11,8 @@ from llm_text import prose
 from pyspark.sql import functions as F
 
 from hirelens.llm import (
-    exact_dedup, fingerprints, jaccard, language, line_chunks, mixing, packing, sharding,
-    toxicity, warc,
+    exact_dedup, fingerprints, jaccard, language, line_chunks, mixing, packing, queries,
+    sharding, toxicity, warc,
 )
 from hirelens.llm.common import numbered
 
@@ -95,6 +95,33 @@ def test_shards_are_even_and_gapless(awkward):
     assert Counter(r["doc"] for r in rows) == Counter(awkward.collect())
 
 
+def test_written_shards_are_read_back(spark, awkward, nothing, tmp_path):
+    path = str(tmp_path / "shards")
+    placed = sharding.shuffle_into_shards(awkward, shards=4, least_buckets=3)
+    sharding.write_shards(placed, path)
+    found = sharding.read_shards(spark, path, placed.schema)
+    assert dict(found.dtypes) == dict(placed.dtypes)
+    assert sorted(map(str, found.select(placed.columns).collect())) == sorted(
+        map(str, placed.collect()))
+    for n in range(4):  # files of a shard are runs of slots
+        for file in (tmp_path / "shards" / f"shard={n}").glob("*.parquet"):
+            slots = [r["slot"] for r in spark.read.parquet(str(file)).collect()]
+            assert slots == list(range(slots[0], slots[0] + len(slots)))
+    empty = sharding.shuffle_into_shards(nothing)
+    sharding.write_shards(empty, path + "-none")
+    assert sharding.read_shards(spark, path + "-none", empty.schema).count() == 0
+
+
+def test_sharding_query_reads_written_files(spark, awkward, tmp_path):
+    awkward.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op2_sharding(spark, str(tmp_path))
+    assert found.inputFiles() and all("/shard=" in f for f in found.inputFiles())
+    wanted = [(str(r["doc_id"]), len((r["text"] or "").encode()) + 1,
+               zlib.crc32((r["text"] or "").encode())) for r in awkward.collect()]
+    assert sorted(wanted) == sorted(
+        (str(r["doc_id"]), r["size"], r["text_crc32"]) for r in found.collect())
+
+
 # --- lines ----------------------------------------------------------------------
 
 
