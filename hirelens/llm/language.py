@@ -21,8 +21,9 @@ from hirelens.llm.common import bounded_batches, learned
 
 TEXTS_PER_LANGUAGE = 400
 ROUNDS = 3
-LONGEST_PIECE = 10
-LONGEST_RUN = 30  # letters of one word; longer runs are scored part by part
+FIT_LETTERS = 30  # a learning text's longer runs are learned from part by part
+RESCALE_EVERY = 12  # letters; 1e-7 a letter stays far above the smallest float until then
+WORDS_AT_ONCE = 20_000
 UNSEEN = 1e-7
 CACHED_WORDS = 700_000
 MARK = "▁"  # the vocabulary's mark of a word's beginning
@@ -37,20 +38,24 @@ def piece_table(path: str) -> dict[str, int]:
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
     wanted = {
         p for p in pieces
-        if len(p) <= LONGEST_PIECE
-        and (p == MARK or LETTERS.fullmatch(p.removeprefix(MARK)))
+        if (p == MARK or LETTERS.fullmatch(p.removeprefix(MARK)))
         and p == p.lower()
     }
     return {p: i for i, p in enumerate(sorted(wanted))}
 
 
 def letter_runs(token: str) -> list[str]:
-    """Marked runs of letters of a lower-case token, none longer than the bound."""
-    runs = []
-    for run in LETTERS.findall(token):
-        runs.append(MARK + run[:LONGEST_RUN])
-        runs.extend(run[i:i + LONGEST_RUN] for i in range(LONGEST_RUN, len(run), LONGEST_RUN))
-    return runs
+    """Marked runs of letters of a lower-case token, whole."""
+    return [MARK + run for run in LETTERS.findall(token)]
+
+
+def fit_runs(token: str) -> list[str]:
+    """Runs as they are learned from: long ones in parts, the first of them marked."""
+    size = FIT_LETTERS
+    return [
+        MARK * (i == 0) + run[i:i + size]
+        for run in LETTERS.findall(token) for i in range(0, len(run), size)
+    ]
 
 
 def _lattices(words: list[str], pieces: dict[str, int]):
@@ -60,11 +65,12 @@ def _lattices(words: list[str], pieces: dict[str, int]):
     for i, word in enumerate(words):
         by_length[len(word)].append(i)
     unknown, none = len(pieces), len(pieces) + 1
+    longest = max(map(len, pieces), default=1)
     for length, places in by_length.items():
         own = [words[i] for i in places]
         arcs = {}
         for start in range(length):
-            for size in range(1, min(LONGEST_PIECE, length - start) + 1):
+            for size in range(1, min(longest, length - start) + 1):
                 missing = unknown if size == 1 else none
                 ids = np.array(
                     [pieces.get(w[start:start + size], missing) for w in own], np.int32
@@ -92,10 +98,42 @@ def _backward(length: int, arcs, table: np.ndarray, count: int) -> list[np.ndarr
 
 
 def word_scores(words: list[str], pieces: dict[str, int], table: np.ndarray) -> np.ndarray:
-    """Log probability of each word in each language, all segmentations summed."""
+    """Log probability of each word in each language, all segmentations summed.
+
+    Words of any length: the pass keeps the sums of the last letters only, as many as the
+    longest piece has, and rescales them now and then.
+    """
     out = np.zeros((len(words), table.shape[1]), np.float64)
-    for places, length, arcs in _lattices(words, pieces):
-        out[places] = np.log(_forward(length, arcs, table, len(places))[length])
+    longest = max(map(len, pieces), default=1)
+    unknown, none = len(pieces), len(pieces) + 1
+    order = sorted(range(len(words)), key=lambda i: -len(words[i]))
+    for first in range(0, len(order), WORDS_AT_ONCE):
+        places = order[first:first + WORDS_AT_ONCE]
+        own = [words[i] for i in places]
+        reached = [np.ones((len(own), table.shape[1]))]
+        scale = np.zeros((len(own), table.shape[1]))
+        for end in range(1, len(own[0]) + 1 if own else 0):
+            while len(own[-1]) < end:  # the shortest are done
+                own.pop()
+            n = len(own)
+            reached = [r[:n] for r in reached[-longest:]]
+            now = np.zeros((n, table.shape[1]))
+            for size in range(1, len(reached) + 1):
+                missing = unknown if size == 1 else none
+                ids = np.fromiter(
+                    (pieces.get(w[end - size:end], missing) for w in own), np.int32, n
+                )
+                used = np.flatnonzero(ids != none)
+                if len(used):
+                    now[used] += reached[-size][used] * table[ids[used]]
+            reached.append(now)
+            if end % RESCALE_EVERY == 0:
+                scale[:n] += np.log(now)
+                reached = [r / now for r in reached[-longest:]]
+            done = n
+            while done and len(own[done - 1]) == end:
+                done -= 1
+            out[places[done:n]] = scale[done:n] + np.log(reached[-1][done:])
     return out
 
 
@@ -159,7 +197,7 @@ def train(
     `per_language` texts of a language reach the driver."""
     samples = defaultdict(Counter)
     for row in sample_texts(docs, per_language).select("lang", "text").collect():
-        for run in letter_runs(row["text"].lower()):
+        for run in fit_runs(row["text"].lower()):
             samples[row["lang"]][run] += 1
     samples = {k: c for k, c in samples.items() if c}
     return sorted(samples), fit(samples, pieces) if samples else np.zeros((len(pieces) + 2, 0))

@@ -400,6 +400,41 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(np.exp(scores[:, 0]), [every("▁ab"), every("▁aab")])
 
 
+def test_long_pieces_and_whole_runs_are_summed():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    own = {model.id_to_piece(i) for i in range(model.get_piece_size())}
+    known = language.piece_table(PIECES)
+    long = {p for p in own if len(p) > 10 and p == p.lower()
+            and language.LETTERS.fullmatch(p.removeprefix("▁"))}
+    assert long and long <= set(known)
+    pieces = {"▁": 0, "▁a": 1, "a": 2, "b": 3, "ab": 4, "bababababababa": 5}
+    table = np.array([[.1, .3], [.2, .1], [.05, 1e-7], [.3, 1e-7], [.15, .1], [.2, .2],
+                      [1e-7, 1e-7], [0., 0.]])
+    draw = random.Random(3)
+    words = ["▁" + "ab" * n for n in (1, 7, 15, 16, 40, 500)] + ["▁", "▁" + "zq" * 60]
+    words += ["▁" + "".join(draw.choices("abz", k=n)) for n in range(1, 80, 7)]
+
+    def exact(word, k):
+        from fractions import Fraction as Q
+
+        sums = [Q(1)]
+        for end in range(1, len(word) + 1):
+            at = Q(0)
+            for n in range(1, min(14, end) + 1):
+                p = pieces.get(word[end - n:end], 6 if n == 1 else None)
+                at += 0 if p is None else sums[-n] * Q(table[p, k])
+            sums.append(at)
+        from decimal import Decimal
+
+        return float((Decimal(sums[-1].numerator) / Decimal(sums[-1].denominator)).ln())
+
+    scores = language.word_scores(words, pieces, table)
+    assert np.allclose(scores, [[exact(w, k) for k in (0, 1)] for w in words])
+    assert language.letter_runs("x" * 90) == ["▁" + "x" * 90]
+
+
 def speech(draw, lang, words):
     syllables = {"en": ["th", "ing", "er", "ou"], "de": ["sch", "ung", "ei", "ver"]}[lang]
     return " ".join("".join(draw.choices(syllables, k=3)) for _ in range(words))
