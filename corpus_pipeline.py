@@ -18,9 +18,10 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: null texts and texts without a letter."""
+    """Drop null texts and texts without a letter, and nothing else: also where no language
+    could be learned. The predicted language and its score decide nothing here."""
     found = language.identify(docs, language.vocabulary_path(spark))
-    return found.filter("lang_pred <> 'und'").select("doc.*")
+    return found.filter("letter_runs > 0").select("doc.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

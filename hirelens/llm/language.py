@@ -249,7 +249,8 @@ def predict(
     docs: DataFrame, languages: list[str], pieces: dict[str, int], table: np.ndarray,
     text: str = "text",
 ) -> DataFrame:
-    """Add a language to every row: `doc` (the whole input row), `lang_pred`, `score`.
+    """Add a language to every row: `doc` (the whole input row), `lang_pred`, `score`,
+    `letter_runs` (how many the text has, whether or not a language was learned).
 
     The score is the posterior probability under equal priors. Null texts and texts without
     a letter are `und` with score 0, as is everything when no language was learned. Whole
@@ -259,7 +260,8 @@ def predict(
     bounded_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast((languages, pieces, table))
     rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text).alias("text"))
-    schema = rows.drop("text").schema.add("lang_pred", "string").add("score", "double")
+    schema = rows.drop("text").schema.add("lang_pred", "string").add("score", "double").add(
+        "letter_runs", "long")
 
     name = uuid.uuid4().hex
 
@@ -278,8 +280,9 @@ def predict(
                 names.append(languages[best])
                 scores.append(float(1 / np.exp(row[:-1] - row[best]).sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(names, pa.string()), pa.array(scores)],
-                names=["doc", "lang_pred", "score"],
+                [batch.column("doc"), pa.array(names, pa.string()), pa.array(scores),
+                 pa.array(sums[:, -1].astype(np.int64))],
+                names=["doc", "lang_pred", "score", "letter_runs"],
             )
 
     return rows.mapInArrow(score, schema)
@@ -294,13 +297,13 @@ def identify(
     docs: DataFrame, vocabulary: str, per_language: int = TEXTS_PER_LANGUAGE
 ) -> DataFrame:
     """Learn from the rows of `docs` (`doc_id`, `text`, `lang`) that are not held out and
-    have a language, and predict every row: `doc`, `held_out`, `lang_pred`, `score`. Rows
+    have a language, and predict every row: `doc`, `held_out`, `lang_pred`, `score`, `letter_runs`. Rows
     with a null doc_id are not held out, and not learned from either."""
     pieces = piece_table(vocabulary)
     languages, table = train(docs, pieces, per_language)
     out = predict(docs, languages, pieces, table)
     return out.select("doc", held_out(F.col("doc.doc_id")).alias("held_out"), "lang_pred",
-                      "score")
+                      "score", "letter_runs")
 
 
 def vocabulary_path(spark: SparkSession, path: str | None = None) -> str:

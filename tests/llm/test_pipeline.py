@@ -67,3 +67,11 @@ def test_pipeline(spark, tmp_path):
     assert sum(r["length"] for r in packed) == sum(n * c for (_, n), c in wanted.items())
     assert np.bincount([r["sequence_id"] for r in packed]).min() > 0
     assert mixing.SHARDS == 16
+
+
+def test_unlabelled_tables_keep_their_documents(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(1, "some words", None), (2, "12 %", None), (3, None, None), (4, "é", None)],
+        "doc_id bigint, text string, lang string")
+    left = pipeline.identify_language(spark, docs, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in left) == [1, 4]
