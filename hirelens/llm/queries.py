@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hirelens.llm import (
-    exact_dedup, fingerprints, jaccard, language, line_chunks, mixing, packing, sharding,
-    toxicity, warc,
+    exact_dedup, fingerprints, jaccard, language, lexical, line_chunks, mixing, packing,
+    periodic_runs, pieces, sharding, toxicity, warc,
 )
 from hirelens.llm.common import numbered, read_table
 from hirelens.session import scratch_path
@@ -144,3 +144,52 @@ def op10_warc(spark, d):
     path = scratch_path(spark, "warc")
     warc.write_archives(warc.resolve_revisits(read_table(spark, d, "pages")), path)
     return warc.resolved_records(warc.read_archives(spark, path))
+
+
+@query(
+    """
+    WITH d AS (SELECT doc_id, regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t FROM documents),
+    n AS (SELECT row_number() OVER () AS r, doc_id, t, len(t) AS n FROM d WHERE len(t) > 0),
+    total AS (SELECT count(*) AS dn, CAST(sum(n) AS BIGINT) AS dl FROM n),
+    p AS (SELECT r, doc_id, n, term, count(*) AS tf
+          FROM (SELECT r, doc_id, n, unnest(t) AS term FROM n) GROUP BY ALL),
+    f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+    i AS (SELECT item_id, unnest(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+    s AS (SELECT i.item_id, p.r, p.doc_id, CAST(sum(
+              CAST(floor(1000 * ln((2 * dn + 2) / (2 * df + 1))) AS BIGINT)
+              * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * dn) // dl)))) AS BIGINT)
+              AS score
+          FROM i JOIN p USING (term) JOIN f USING (term) CROSS JOIN total
+          GROUP BY i.item_id, p.r, p.doc_id),
+    k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+          FROM s WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+    """
+)
+def op11_lexical_search(spark, d):
+    path = scratch_path(spark, "lexical-index")
+    lexical.write_index(read_table(spark, d, "documents"), path)
+    found = lexical.search(spark, path, read_table(spark, d, "benchmark"))
+    return found.select(
+        F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score"
+    )
+
+
+@query()
+def op12_sentencepiece(spark, d):
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    encoded = pieces.encode_texts(docs, pieces.model_path(spark), keep_ids=False)
+    return encoded.select("doc.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query()
+def op13_periodic_runs(spark, d):
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(
+        docs, change=periodic_runs.repeated_tail, keep_text=False
+    )
+    return periodic_runs.run_report(found)
