@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["checks.star", "checks.docs", "checks.vocab", "checks.web"]
+MODULES = ["checks.star", "checks.docs", "checks.vocab", "checks.web", "checks.whole"]
 
 
 def _modules():

@@ -1,8 +1,9 @@
 """Role rules, exclusion words and documented seniority classes.
 
-A rule is a lazily evaluated expression giving ``rule id TAB reason`` or NULL.
-``coalesce`` over the rules in priority order therefore runs each regex at most
-once per row and stops at the first hit; role and confidence follow from the id.
+Title and context are each read once, for the phrases of all rules together. A rule is
+then a lookup of the phrases found, giving ``rule id TAB reason`` or NULL; ``coalesce`` over
+the rules in priority order stops at the first hit, and role and confidence follow from
+the id.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
 from hirelens.functions.literals import literal_map
-from hirelens.functions.text import contains_phrase, first_phrase, match_text
+from hirelens.functions.once import with_computed
+from hirelens.functions.phrases import PhraseIndex
+from hirelens.functions.text import first_phrase, match_text
 
 
 @dataclass(frozen=True)
@@ -29,17 +32,37 @@ class RoleRule:
     second_reason: str | None = None
     second_phrases: Sequence[str] = ()
 
-    def explain(self, title: Column, context: Column) -> Column:
-        text = title if self.on_title else context
-        parts = [F.lit(self.reason), first_phrase(text, self.phrases)]
+    def explain(self, number: int, texts: RuleTexts) -> Column:
+        found = texts.title if self.on_title else texts.context
+        parts = [F.lit(self.reason), texts.index.first(found, f"{number} first")]
         if self.second_reason:
-            parts += [F.lit(self.second_reason), first_phrase(context, self.second_phrases)]
+            parts += [
+                F.lit(self.second_reason), texts.index.first(texts.context, f"{number} second")
+            ]
         reason = F.concat(*parts)
         if self.also_in_context:
-            return F.when(contains_phrase(context, self.also_in_context), reason)
+            return F.when(texts.index.has(texts.context, f"{number} also"), reason)
         return reason
 
 
+@dataclass(frozen=True)
+class RuleTexts:
+    """The phrases of numbered rules, and what of them title and context hold."""
+
+    index: PhraseIndex
+    title: Column
+    context: Column
+
+
+def rule_phrases(rules: Sequence[RoleRule]) -> PhraseIndex:
+    lists = {}
+    for number, rule in enumerate(rules):
+        lists[f"{number} first"] = rule.phrases
+        lists[f"{number} second"] = rule.second_phrases
+        lists[f"{number} also"] = [rule.also_in_context] if rule.also_in_context else []
+    return PhraseIndex(lists)
+
+
 # Priority order: each role's title rule, then its context rule.
 ROLE_RULES = [
     RoleRule("machine_learning_engineer", "0.95", "Title contains ML engineering phrase: ",
@@ -101,6 +124,11 @@ def with_detected_role(
 ) -> DataFrame:
     """Add detected_role, role_confidence and role_reason from _title and _context."""
     title, context = F.col("_title"), F.col("_context")
+    index = rule_phrases([*rules, *tail])
+    read = with_computed(df, {
+        "_in_title": index.found(title), "_in_context": index.found(context),
+    })
+    texts = RuleTexts(index, F.col("_in_title"), F.col("_in_context"))
     outcomes: list[tuple[str, str]] = []
     chain: list[Column] = []
 
@@ -108,18 +136,18 @@ def with_detected_role(
         chain.append(_tagged(len(outcomes), reason))
         outcomes.append((role, confidence))
 
-    for rule in rules:
-        add(rule.role, rule.confidence, rule.explain(title, context))
+    for number, rule in enumerate(rules):
+        add(rule.role, rule.confidence, rule.explain(number, texts))
     no_text = (title == "") & (context == "")
     add(NO_TEXT[0], NO_TEXT[1], F.when(no_text, F.lit(NO_TEXT[2])))
-    for rule in tail:
-        add(rule.role, rule.confidence, rule.explain(title, context))
+    for number, rule in enumerate(tail, len(rules)):
+        add(rule.role, rule.confidence, rule.explain(number, texts))
     add(NO_SIGNAL[0], NO_SIGNAL[1], F.lit(NO_SIGNAL[2]))
 
     ids = [f"{n:02d}" for n in range(len(outcomes))]
     roles = literal_map({i: o[0] for i, o in zip(ids, outcomes)})
     scores = literal_map({i: o[1] for i, o in zip(ids, outcomes)})
-    hit = df.withColumn("_hit", F.coalesce(*chain))
+    hit = with_computed(read, {"_hit": F.coalesce(*chain)})
     rule_id = F.substring("_hit", 1, 2)
     return hit.withColumns(
         {
@@ -127,18 +155,21 @@ def with_detected_role(
             "role_confidence": F.try_element_at(scores, rule_id).cast("decimal(5,2)"),
             "role_reason": F.expr("substring(_hit, 4)"),
         }
-    ).drop("_hit")
+    ).drop("_hit", "_in_title", "_in_context")
 
 
 def exclusion_reason(title_text: Column, words: Sequence[str] = tuple(V.EXCLUSION_WORDS)) -> Column:
     return F.concat(F.lit(V.EXCLUSION_REASON), first_phrase(title_text, words))
 
 
-def seniority(text: Column) -> Column:
-    """First class, in listed order, with a keyword in the text."""
+SENIORITY_INDEX = PhraseIndex(V.SENIORITY_KEYWORDS)
+
+
+def seniority(found: Column) -> Column:
+    """First class, in listed order, with a keyword in the text; `found` is what
+    SENIORITY_INDEX finds there."""
     tests = [
-        F.when(first_phrase(text, words).isNotNull(), F.lit(name))
-        for name, words in V.SENIORITY_KEYWORDS.items()
+        F.when(SENIORITY_INDEX.has(found, name), F.lit(name)) for name in V.SENIORITY_KEYWORDS
     ]
     return F.coalesce(*tests, F.lit(V.SENIORITY_UNKNOWN))
 

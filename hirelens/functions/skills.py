@@ -72,12 +72,3 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(
         F.lower(text), F.lit(r"[\p{L}\p{N}_]+(?:[.\-/][\p{L}\p{N}_]+)*[+#]*"), F.lit(0)
     )
-
-
-def next_runs(runs: Column, tokens: Column, n: int) -> Column:
-    """Runs of n tokens from the runs of n-1: each is joined with the token after it.
-
-    Runs that would pass the end are NULL. One linear pass, no indexing.
-    """
-    following = F.slice(tokens, F.lit(n), F.greatest(F.size(tokens), F.lit(0)))
-    return F.zip_with(runs, following, lambda run, token: F.concat(run, F.lit(" "), token))

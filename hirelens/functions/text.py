@@ -14,9 +14,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens.functions.literals import literal_list
+from hirelens.functions.phrases import WORD_CLASS, PhraseIndex
 
 SPACE_CLASS = r"[\s\p{Z}\x0B\x1C-\x1F\x85]"
-WORD_CLASS = r"[\p{L}\p{N}_]"
 
 
 def collapse(value: Column) -> Column:
@@ -67,19 +67,9 @@ def contains_any(text: Column, parts: Sequence[str]) -> Column:
 
 
 def first_phrase(text: Column, phrases: Sequence[str]) -> Column:
-    """The first phrase in *list* order found as a whole phrase, else NULL.
-
-    One regex pass finds, at every word start, the earliest listed phrase that
-    begins there (the look-ahead lets matches overlap); the smallest list index
-    over all starts is the answer.
-    """
-    phrases = [p.lower() for p in phrases]
-    alternatives = "|".join(_literal(p) for p in phrases)
-    pattern = f"(?<!{WORD_CLASS})(?=({alternatives})(?!{WORD_CLASS}))"
-    listed = literal_list(phrases)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    index = F.array_min(F.transform(found, lambda hit: F.array_position(listed, hit)))
-    return F.when(contains_any(text, phrases), F.get(listed, (index - 1).cast("int")))
+    """The first phrase in *list* order found as a whole phrase, else NULL."""
+    index = PhraseIndex({"": phrases})
+    return index.first(index.found(text), "")
 
 
 def contains_ignoring_case(text: Column, phrase: Column) -> Column:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hirelens.functions.once import with_computed
 from hirelens.functions.roles import (
+    SENIORITY_INDEX,
     exclusion_reason,
     role_texts,
     seniority,
     with_detected_role,
-    with_role_texts,
 )
 from hirelens.operators.keyed import upsert
 
@@ -27,7 +28,9 @@ def analyze(jobs: DataFrame) -> DataFrame:
     read them as columns instead of normalising once per rule.
     """
     columns = ["job_id", "job_title", "description_text", "job_function", "industries"]
-    texts = with_role_texts(jobs.select(*columns)).select("job_id", "_title", "_context")
+    title, context = role_texts("job_title", "description_text", "job_function", "industries")
+    texts = with_computed(jobs.select(*columns), {"_title": title, "_context": context}).select(
+        "job_id", "_title", "_context")
     judged = with_detected_role(texts).withColumn(
         "exclusion_reason", exclusion_reason(F.col("_title"))
     )
@@ -67,5 +70,5 @@ def with_seniority(jobs: DataFrame) -> DataFrame:
     """Add the documented seniority class from title and description."""
     nothing = F.lit(None).cast("string")
     _, context = role_texts("job_title", "description_text", nothing, nothing)
-    texts = jobs.withColumn("_text", context)
-    return texts.withColumn("seniority", seniority(F.col("_text"))).drop("_text")
+    found = with_computed(jobs, {"_found": SENIORITY_INDEX.found(context)})
+    return found.withColumn("seniority", seniority(F.col("_found"))).drop("_found")

@@ -91,15 +91,17 @@ def with_outcome(validated: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def inserted_rows(
-    records: DataFrame, fresh: DataFrame, existing: DataFrame, run_id: int
+    records: DataFrame, fresh: DataFrame, existing: DataFrame | None, run_id: int,
+    after: int | None = None,
 ) -> DataFrame:
-    """Bronze rows for the fresh positions, ids in arrival order after the stored ones.
+    """Bronze rows for the fresh positions, ids in arrival order after the stored ones, or
+    after a given id.
 
     Ids are given to the positions alone; payloads are hashed once, after the join.
     """
-    ids = assign_ids(
-        fresh.select("position"), "raw_job_id", ["position"], largest_id(existing, "raw_job_id")
-    )
+    if after is None:
+        after = largest_id(existing, "raw_job_id")
+    ids = assign_ids(fresh.select("position"), "raw_job_id", ["position"], after)
     rows = with_content_hash(records.join(ids, "position"))
     return rows.select(
         "raw_job_id",

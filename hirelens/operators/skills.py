@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.functions import payload
-from hirelens.functions.literals import sql_texts
 from hirelens.functions.once import with_computed
 from hirelens.functions.skills import (
     is_rejected,
     is_safe_alias,
-    next_runs,
     normalize_category,
     normalize_name,
     strip_fences,
@@ -20,10 +18,9 @@ from hirelens.functions.skills import (
 from hirelens.functions.text import blank_if_null, lookup_key
 from hirelens.operators.keyed import assign_ids, fill_empty, largest_id, new_rows, upsert
 
-# Up to this many aliases the dictionary travels inside the plan as a hashed
-# set and texts are matched without a shuffle; beyond it the text's phrases are
-# joined with the alias table.
-MAX_INLINE_ALIASES = 20_000
+# A dictionary is broadcast up to this many bytes; beyond it its joins are planned as adaptive
+# execution decides.
+MAX_BROADCAST_BYTES = 32 << 20
 
 BAD_JSON = "response is not a JSON object"
 NOT_A_LIST = "field 'skills' is not a list"
@@ -129,38 +126,38 @@ def extraction_report(parsed: DataFrame, extracted: DataFrame) -> DataFrame:
 # --- dictionary extraction ---------------------------------------------------
 
 
-def _phrases(texts: DataFrame, sizes: list[int], known: list[str] | None) -> DataFrame:
-    """The text's distinct runs of words of the given lengths, one row each;
-    with a list of known phrases only those."""
-    rows = with_computed(texts.select("job_id", "text"), {"_run1": word_tokens(F.col("text"))})
-    for n in range(2, max(sizes) + 1):
-        runs = next_runs(F.col(f"_run{n - 1}"), F.col("_run1"), n)
-        rows = with_computed(rows.drop("text"), {f"_run{n}": runs})
-
-    def kept(n: int):
-        if known is None:
-            return F.array_distinct(F.array_compact(f"_run{n}"))
-        return F.expr(f"filter(_run{n}, run -> run IN ({sql_texts(known)}))")
-
-    found = F.array_distinct(F.concat(*[kept(n) for n in sizes]))
-    return rows.select("job_id", F.explode_outer(found).alias("phrase")).filter(
-        F.col("phrase").isNotNull()
-    )
-
-
 def alias_phrases(aliases: DataFrame, owner: str = "skill_id") -> DataFrame:
     """Alias rows with the alias as the phrase that texts are cut into."""
     words = word_tokens(F.col("alias_name"))
     return aliases.select(
-        owner, F.array_join(words, " ").alias("phrase"), F.size(words).alias("words")
+        owner, F.array_join(words, " ").alias("phrase"), F.size(words).alias("words"),
+        F.get(words, F.lit(0)).alias("first_word"),
     ).filter("words > 0")
 
 
+def phrase_index(dictionary: DataFrame) -> DataFrame:
+    """How many words the phrases have that begin with a word: one short row per first word,
+    however many phrases share it."""
+    return dictionary.groupBy("first_word").agg(F.collect_set("words").alias("sizes"))
+
+
+def _windows(texts: DataFrame, longest: int) -> DataFrame:
+    """Each word of a text with the words after it, as many as the longest phrase has."""
+    cut = with_computed(texts.select("job_id", "text"), {"_words": word_tokens(F.col("text"))})
+    following = [
+        F.slice("_words", F.lit(n), F.greatest(F.size("_words"), F.lit(0)))
+        for n in range(2, longest + 1)
+    ]
+    window = F.arrays_zip("_words", *following)
+    names = [f"w{n}" for n in range(1, longest + 1)]
+    return cut.select("job_id", F.inline(window)).toDF("job_id", *names)
+
+
 def extract_by_dictionary(
     texts: DataFrame,
     aliases: DataFrame,
     owner: str = "skill_id",
-    max_inline: int = MAX_INLINE_ALIASES,
+    max_inline: int | None = None,
 ) -> DataFrame:
     """Skills whose alias occurs as a run of words anywhere in the text.
 
@@ -168,26 +165,34 @@ def extract_by_dictionary(
     column that names the skill. The result is one row per job and owner with
     the alphabetically first matching alias as the mention. Whole texts are
     searched.
+
+    Places of a text whose word begins an alias are found with the index of first
+    words; only there the runs of the lengths that such aliases have are made, and
+    they meet the aliases by a join. Dictionaries of any size take this one way;
+    ``max_inline`` has no effect and stays for callers that pass it. One row of
+    measures, taken when the plan is made, tells the longest alias and whether the
+    dictionary is small enough to be broadcast.
     """
     dictionary = alias_phrases(aliases, owner)
-    known = dictionary.select("phrase", "words").distinct().limit(max_inline + 1).collect()
-    if len(known) <= max_inline:
-        # a word that cannot occur keeps the plan valid for an empty dictionary
-        sizes = sorted({row["words"] for row in known}) or [1]
-        phrases = [row["phrase"] for row in known] or [""]
-        matched = _phrases(texts, sizes, phrases)
-    else:
-        longest = dictionary.agg(F.max("words")).first()[0]
-        matched = _phrases(texts, list(range(1, longest + 1)), None)
-    found = matched.join(dictionary.select(owner, "phrase"), "phrase")
+    longest, size = dictionary.agg(F.max("words"), F.sum(F.octet_length("phrase") + 64)).first()
+    longest = longest or 1
+    index, phrases = phrase_index(dictionary), dictionary.select(owner, "phrase").distinct()
+    if (size or 0) <= MAX_BROADCAST_BYTES:
+        index, phrases = F.broadcast(index), F.broadcast(phrases)
+    words = [F.col(f"w{n}") for n in range(1, longest + 1)]
+    at = _windows(texts, longest).join(index, F.col("w1") == F.col("first_word"))
+    runs = F.transform(
+        F.filter("sizes", lambda n: F.get(F.array(*words), n - 1).isNotNull()),
+        lambda n: F.array_join(F.slice(F.array(*words), 1, n), " "),
+    )
+    matched = at.select("job_id", F.explode(runs).alias("phrase"))
+    found = matched.join(phrases, "phrase")
     return found.groupBy("job_id", owner).agg(F.min("phrase").alias("raw_mention"))
 
 
-def dictionary_candidates(
-    texts: DataFrame, aliases: DataFrame, max_inline: int = MAX_INLINE_ALIASES
-) -> DataFrame:
+def dictionary_candidates(texts: DataFrame, aliases: DataFrame) -> DataFrame:
     """Dictionary matches shaped like validated response items; aliases name their skill."""
-    found = extract_by_dictionary(texts, aliases, "skill_name", max_inline)
+    found = extract_by_dictionary(texts, aliases, "skill_name")
     category = normalize_category(F.col("skill_name"), F.lit(None).cast("string"))
     return found.select(
         "job_id",
@@ -306,15 +311,14 @@ def insert_aliases(existing: DataFrame, linked: DataFrame) -> DataFrame:
     return existing.select(*added.columns).unionByName(added)
 
 
-def upsert_links(
-    existing: DataFrame, linked: DataFrame, method: str, replace_links: bool = False
-) -> DataFrame:
-    """Job-skill links after the refresh; the last write of a pair wins.
+LINK_KEY = ["job_id", "skill_id"]
+LINK_UPDATED = ["extraction_method", "raw_mention", "confidence_score"]
+LINK_ORDER = ["position", "raw_mention", "confidence_score"]
 
-    ``replace_links`` first drops the stored links of the jobs at hand; by
-    default links that are no longer extracted stay.
-    """
-    rows = linked.select(
+
+def link_rows(linked: DataFrame, method: str) -> DataFrame:
+    """Links as they are stored, and their position in the answer."""
+    return linked.select(
         "job_id",
         "skill_id",
         F.lit(method).alias("extraction_method"),
@@ -322,6 +326,17 @@ def upsert_links(
         F.round("confidence_score", 4).cast("decimal(5,4)").alias("confidence_score"),
         "position",
     )
+
+
+def upsert_links(
+    existing: DataFrame, linked: DataFrame, method: str, replace_links: bool = False
+) -> DataFrame:
+    """Job-skill links after the refresh; the last write of a pair wins.
+
+    ``replace_links`` first drops the stored links of the jobs at hand; by
+    default links that are no longer extracted stay.
+    """
+    rows = link_rows(linked, method)
     if replace_links:
         existing = existing.join(rows.select("job_id").distinct(), "job_id", "left_anti").select(
             *existing.columns
@@ -329,9 +344,9 @@ def upsert_links(
     return upsert(
         existing,
         rows,
-        ["job_id", "skill_id"],
-        ["extraction_method", "raw_mention", "confidence_score"],
-        ["position", "raw_mention", "confidence_score"],
+        LINK_KEY,
+        LINK_UPDATED,
+        LINK_ORDER,
         on_insert={"created_at": F.current_timestamp()},
     )
 

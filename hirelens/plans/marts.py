@@ -92,9 +92,15 @@ def skill_demand(
     jobs: DataFrame, analysis: DataFrame, links: DataFrame, skills: DataFrame
 ) -> DataFrame:
     """Demand per role and skill, not yet ranked."""
+    return demand_of(
+        skill_counts(jobs, analysis, links), role_totals(jobs, analysis), skills
+    )
+
+
+def demand_of(counts: DataFrame, totals: DataFrame, skills: DataFrame) -> DataFrame:
+    """Demand from the jobs per role and skill and the jobs per role."""
     return (
-        skill_counts(jobs, analysis, links)
-        .join(role_totals(jobs, analysis), "detected_role")
+        counts.join(totals, "detected_role")
         .join(skills.select("skill_id", "skill_name", "skill_category"), "skill_id")
         .select(
             "detected_role",
@@ -135,7 +141,10 @@ def top_skills_by_role(
     collation: str | None = None,
 ) -> DataFrame:
     """Skill demand and rank within each role."""
-    demand = skill_demand(jobs, analysis, links, skills)
+    return rank_demand(skill_demand(jobs, analysis, links, skills), collation)
+
+
+def rank_demand(demand: DataFrame, collation: str | None = None) -> DataFrame:
     by_name = F.collate("skill_name", collation) if collation else F.col("skill_name")
     order = [F.col("jobs_with_skill").desc(), by_name]
     ranked = sliced_rank(
@@ -211,11 +220,6 @@ def skills_by_category(skills: DataFrame, links: DataFrame) -> DataFrame:
     per (category, job), so neither a hot skill nor a hot category is one task.
     """
     per_skill = links.groupBy("skill_id").agg(F.count("*").alias("_links"))
-    counted = skills.select("skill_id", "skill_category").join(per_skill, "skill_id", "left")
-    totals = counted.groupBy("skill_category").agg(
-        F.countDistinct("skill_id").alias("distinct_skills_count"),
-        F.sum(F.coalesce("_links", F.lit(1))).alias("job_skill_links"),
-    )
     jobs = (
         links.select("skill_id", "job_id")
         .join(skills.select("skill_id", "skill_category"), "skill_id")
@@ -224,6 +228,16 @@ def skills_by_category(skills: DataFrame, links: DataFrame) -> DataFrame:
         .groupBy("skill_category")
         .agg(F.count("job_id").alias("jobs_with_category"))
     )
+    return category_totals(skills, per_skill, jobs)
+
+
+def category_totals(skills: DataFrame, per_skill: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Category rows from the links per skill (`_links`) and the jobs per category."""
+    counted = skills.select("skill_id", "skill_category").join(per_skill, "skill_id", "left")
+    totals = counted.groupBy("skill_category").agg(
+        F.countDistinct("skill_id").alias("distinct_skills_count"),
+        F.sum(F.coalesce("_links", F.lit(1))).alias("job_skill_links"),
+    )
     result = totals.alias("t").join(
         jobs.alias("j"), F.col("t.skill_category").eqNullSafe(F.col("j.skill_category")), "left"
     )

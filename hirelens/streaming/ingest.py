@@ -1,5 +1,8 @@
 """Incremental loading of raw record files.
 
+`load_new_files` keeps a table of its own; `stream_into_bronze` feeds the table that batch
+loads feed, each micro-batch as a run with its ledger rows.
+
 A streaming query lists the files it has not seen; every micro-batch goes
 through the same validation and insert-if-absent as a batch load. Identity is
 (source_name, source_job_id) against the stored table, so no state or watermark
@@ -14,12 +17,17 @@ from pyspark.sql import functions as F
 from hirelens.operators.bronze import (
     KEY,
     fresh_positions,
+    source_names,
     with_content_hash,
     with_reject_reason,
 )
+from hirelens.plans.incremental import load_records
 from hirelens.session import stage
+from hirelens.sources.buckets import BUCKETS
 from hirelens.sources.raw_records import json_records, with_position
 
+SEVERAL_SOURCES = "(several)"
+
 STORED = "source_name STRING, source_job_id STRING, source_url STRING, scraped_at STRING, " \
          "raw_payload STRING, content_hash STRING, batch_id BIGINT"
 REJECTED = "source_name STRING, source_url STRING, raw_payload STRING, reject_reason STRING, " \
@@ -77,3 +85,43 @@ def load_new_files(
         .start()
     )
     query.awaitTermination()
+
+
+def load_bronze_batch(
+    batch: DataFrame, batch_id: int, root: str, stream: str = "stream", buckets: int = BUCKETS
+) -> int:
+    """Load a micro-batch into bronze as one run; returns the run's number.
+
+    The run's number and its first raw id are reserved under the batch's name before any row
+    is written, and the ledger's closing row is written last. A batch that failed halfway
+    takes the same number and ids when it is repeated and overwrites its folders; one that was
+    closed is not loaded again. Lines that are no JSON, and other bad records, are rejects of
+    the run. An empty batch is a run without records.
+    """
+    records = stage(with_reject_reason(with_position(batch)), "batch")
+    names = [row[0] for row in source_names(records).limit(2).collect()]
+    source = names[0] if len(names) == 1 else SEVERAL_SOURCES
+    return load_records(
+        records, root, f"{stream} {batch_id}", source, f"{stream}:{batch_id}", buckets)
+
+
+def stream_into_bronze(
+    spark: SparkSession,
+    input_dir: str,
+    root: str,
+    stream: str = "stream",
+    layout: str = "lines",
+    files_per_batch: int = 1000,
+    buckets: int = BUCKETS,
+) -> None:
+    """Load every file that arrived since the last call into bronze, then stop.
+    `plans.incremental.apply_changes` carries it on to the marts."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    query = (
+        json_records(reader, input_dir, layout).writeStream
+        .foreachBatch(lambda df, n: load_bronze_batch(df, n, root, stream, buckets) and None)
+        .option("checkpointLocation", f"{root}/_progress_{stream}")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
