@@ -12,16 +12,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm import exact_dedup, jaccard, language, mixing, packing
-from hirelens.llm.common import keep, numbered, read_table
+from hirelens.llm.common import keep, numbered, quoted, read_table, whole_row
 
 ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop null texts and texts without a letter, and nothing else: also where no language
-    could be learned. The predicted language and its score decide nothing here."""
-    found = language.identify(docs, language.vocabulary_path(spark))
-    return found.filter("letter_runs > 0").select("doc.*")
+    """Drop the documents that the language model rejects: null texts, texts without a letter,
+    and texts less probable a letter, in their best language, than the least probable run of
+    letters that was learned is in its own. A text of learned words is never below that. Where
+    no language could be learned, only letterless texts go. A null `lang` becomes the
+    predicted one; all else stays as it is, repeated rows and very long texts too, and an
+    empty table stays empty."""
+    found = language.identify(docs, language.vocabulary_path(spark)).filter("accepted")
+    known = F.nullif(F.col("lang_pred"), F.lit("und"))
+    return found.select(*[
+        (F.coalesce(f"doc.{quoted(c)}", known) if c == "lang" else F.col(f"doc.{quoted(c)}"))
+        .alias(c) for c in docs.columns
+    ])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = numbered(
         docs.select(
-            F.struct(*docs.columns).alias("doc"), "source",
+            whole_row(docs), "source",
             mixing.word_count(F.col("text")).alias("size"),
             F.xxhash64("doc_id", text).alias("content"),
         ),
@@ -57,7 +65,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             F.col("doc.n_chars")),
     }
     return new.select(
-        *[changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns]
+        *[changed.get(c, F.col(f"doc.{quoted(c)}")).alias(c) for c in docs.columns]
     )
 
 

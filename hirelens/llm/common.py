@@ -33,10 +33,13 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def whole_row(docs: DataFrame, name: str = "doc") -> Column:
     """All columns as one struct, whatever their names."""
-    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
-    return F.struct(*columns).alias(name)
+    return F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias(name)
 
 
 _learned: dict[str, Any] = {}
