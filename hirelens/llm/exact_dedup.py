@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from hirelens.functions.once import with_computed
-from hirelens.llm.common import keep
+from hirelens.llm.common import keep, whole_row
 
 BLOCK_BYTES = 1024
 NAME_SLICES = 16384
@@ -161,8 +161,7 @@ def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     kept = exact_dedup(docs, key, text).filter("kept").select(
         F.col("doc_id").alias("_key"), F.col("text_sha256").alias("_sha")
     )
-    doc = F.struct(*docs.columns).alias("doc")
-    rows = docs.select(doc, F.sha2(ascii_lower(F.col(text)), 256).alias("sha"))
+    rows = docs.select(whole_row(docs), F.sha2(ascii_lower(F.col(text)), 256).alias("sha"))
     matched = rows.join(
         kept, (F.col("sha") == F.col("_sha")) & F.col(f"doc.{key}").eqNullSafe(F.col("_key")),
         "left_semi",

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import bounded_batches, forget, keep, words_of
+from hirelens.llm.common import bounded_batches, forget, keep, whole_row, words_of
 from hirelens.llm.fingerprints import WordHashes, shingle_hashes
 
 THRESHOLD = 0.8
@@ -368,8 +368,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     kept = near_duplicates(docs, **options).filter("kept").select(
         F.col("doc_id").alias("_key"), F.col("text_sha256").alias("_digest")
     )
-    rows = docs.select(F.struct(*docs.columns).alias("doc"),
-                       _digest(F.col("text")).alias("digest"))
+    rows = docs.select(whole_row(docs), _digest(F.col("text")).alias("digest"))
     matched = rows.join(
         kept,
         (F.col("digest") == F.col("_digest")) & F.col("doc.doc_id").eqNullSafe(F.col("_key")),

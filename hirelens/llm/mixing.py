@@ -24,7 +24,7 @@ SHARDS = 16
 BLOCK_WORDS = 65_536
 SEED = 20
 WORD = r"[^\x20\x09-\x0D]+"
-DRAWS_AT_ONCE = 500_000_000
+MOST_BLOCKS = 400_000_000  # numpy draws exactly from pools of less than 1e9
 
 
 def word_count(text: Column) -> Column:
@@ -81,13 +81,8 @@ def _halves(counts: list[int], take: int, draw: np.random.Generator) -> list[int
         rest -= count
         if rest < 1 or take < 1 or count < 1:
             x = min(take, count)
-        elif count + rest < DRAWS_AT_ONCE:
+        else:
             x = int(draw.hypergeometric(count, rest, take))
-        else:  # a normal draw of the same mean and spread for counts beyond the sampler
-            pool, part = count + rest, take / (count + rest)
-            spread = (count * part * (1 - part) * rest / max(pool - 1, 1)) ** 0.5
-            x = round(count * part + spread * draw.standard_normal())
-            x = max(0, take - rest, min(take, count, x))
         got.append(x)
         take -= x
     return got
@@ -129,7 +124,8 @@ def mix(
     whose end one row is taken in part (its first `words` words). No row is drawn more than
     `most` times. Rows of size 0 are not drawn. The order depends on seed, content and size
     only, so reruns agree; rows equal in all of these are alike. A null source is a source
-    of its own. Empty input gives no draws.
+    of its own. Empty input gives no draws. Blocks have `block_words` words, or as many more
+    that there are at most MOST_BLOCKS of them: every split is an exact draw at any size.
 
     A source may hold any share of the rows: its order is cut into hashed slices. Only one
     row per source goes to the driver, for the tree; that is sources x shards numbers.
@@ -146,6 +142,7 @@ def mix(
         "mix-targets",
     )
     known = targets.select("key", "quota").orderBy("key").collect()
+    block_words = max(block_words, -(-sum(r["quota"] for r in known) // MOST_BLOCKS))
     blocks = [-(-r["quota"] // block_words) for r in known]
     tree = splitting_tree(blocks, shards, seed)
     ends, plan = [0] * len(known), [[] for _ in known]
@@ -200,5 +197,6 @@ def mix(
 
 
 def first_words(text: Column, words: Column) -> Column:
-    """The first so many words, joined by one space."""
-    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})"), 1), 1, words), " ")
+    """The text up to the end of so many words, with what stands before each word."""
+    pieces = F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
+    return F.array_join(F.slice(pieces, F.lit(1), words), "")

@@ -142,7 +142,9 @@ def op9_mixing(spark, d):
 )
 def op10_warc(spark, d):
     path = scratch_path(spark, "warc")
-    warc.write_archives(warc.resolve_revisits(read_table(spark, d, "pages")), path)
+    pages = read_table(spark, d, "pages")
+    largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    warc.write_archives(warc.resolve_revisits(pages), path, largest=largest)
     return warc.resolved_records(warc.read_archives(spark, path))
 
 

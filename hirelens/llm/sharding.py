@@ -11,11 +11,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelens.llm.common import running_before
+from hirelens.llm.common import quoted, running_before, whole_row
 
 SHARDS = 16
 BUCKET_BYTES = 16 << 20
@@ -23,6 +23,12 @@ LEAST_BUCKETS = 64
 SEED = 7
 
 
+def _hashable(field: T.StructField) -> Column:
+    """A column as it can be hashed: maps, at any depth, as JSON text."""
+    column = F.col(quoted(field.name))
+    return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
+
+
 def shuffle_into_shards(
     docs: DataFrame,
     text: str = "text",
@@ -33,8 +39,8 @@ def shuffle_into_shards(
 ) -> DataFrame:
     """Give every row of `docs` a shard (0 to shards-1) and a slot, gapless from 0.
 
-    Returns `doc` (the whole input row as a struct, so no column can clash), `shard`,
-    `slot`. Shard sizes in rows are at most one apart. The same rows and seed give the same
+    Returns `doc` (the whole input row as a struct, so no column can clash, whatever its name
+    and type), `shard`, `slot`. Shard sizes in rows are at most one apart. The same rows and seed give the same
     places; rows equal in all columns are interchangeable. Nulls are values like any other;
     an empty table gives an empty frame.
 
@@ -49,10 +55,10 @@ def shuffle_into_shards(
     ).first()
     rows = total["rows"]
     buckets = max(least_buckets, math.ceil((total["bytes"] or 0) / bucket_bytes))
-    doc = F.struct(*docs.columns).alias("doc")
-    hashed = [F.xxhash64(F.lit(seed + i), *docs.columns) for i in range(2)]
+    values = [_hashable(f) for f in docs.schema.fields]
+    hashed = [F.xxhash64(F.lit(seed + i), *values) for i in range(2)]
     scattered = docs.select(
-        doc, F.pmod(hashed[0], F.lit(buckets)).alias("bucket"), hashed[1].alias("order")
+        whole_row(docs), F.pmod(hashed[0], F.lit(buckets)).alias("bucket"), hashed[1].alias("order")
     )
     starts = running_before(
         scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "n", "bucket", "start"

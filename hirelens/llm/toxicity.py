@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelens.llm.common import bounded_batches, learned, words_of
+from hirelens.llm.common import bounded_batches, learned, whole_row, words_of
 from hirelens.llm.fingerprints import WordHashes, shingle_hashes
 from hirelens.llm.language import held_out
 
@@ -206,9 +206,9 @@ class _Scorer:
             known.clear()
         found = []
         if any([known[t] if t in known else self._hits(t) for t in set(lower.split())]):
-            for i, (a, b) in enumerate(sentences(lower)):
+            for i, (a, b) in enumerate(sentences(text)):
                 hits = set()
-                for t in lower[a:b].split():
+                for t in text[a:b].lower().split():
                     hits.update(known[t] if t in known else self._hits(t))
                 if hits:
                     x = self.model["bias"] + sum(self.weights[f] for f in sorted(hits))
@@ -222,13 +222,13 @@ class _Scorer:
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """Add `score` (0 to 1) and `offending` sentences to every row, which becomes `doc`.
 
-    Sentences are counted from 0; their spans are code points of the lower-cased text. Null
-    and empty texts get the leak. Whole texts are read, row by row, without a shuffle. The
+    Sentences are counted from 0; their spans are code points of the text. Null and empty texts
+    get the leak, repeated rows the same score; an empty table gives an empty one. Whole texts are read, row by row, without a shuffle. The
     model holds the chosen words of the bounded sample only.
     """
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text).alias("text"))
+    rows = docs.select(whole_row(docs), F.col(text).alias("text"))
     part = T.StructType()
     for name in ("sentence", "start", "stop"):
         part = part.add(name, T.IntegerType())

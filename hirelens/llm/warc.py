@@ -10,8 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.functions.once import with_computed
+from hirelens.llm.common import bounded_batches
 
 CRLF = "\r\n"
+ARCHIVE_BYTES = 1 << 30
+HEADER_BYTES = 2048  # allowed for a record's headers; addresses may be longer
 # fixed values: RFC 4648 base 32, and the digits of a number in base 32
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -105,11 +108,23 @@ def record_text(date: str) -> Column:
     return F.concat(headers, payload, F.lit(CRLF + "\r"))
 
 
-def write_archives(resolved: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z") -> None:
-    """Write records as gzip archives, one per task, through Spark's own file commit, so
-    that any store works and a lost executor leaves no half file behind."""
+def write_archives(
+    resolved: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z",
+    largest: int | None = None,
+) -> None:
+    """Write records as gzip archives through Spark's own file commit, so that any store works
+    and a lost executor leaves no half file behind.
+
+    A task starts another archive when one has as many records as ARCHIVE_BYTES of the largest
+    payload would be, so no archive passes that size before it is compressed, whatever the size
+    of a partition. `largest` is that payload's bytes; without it, it is looked up first.
+    """
+    if largest is None:
+        largest = resolved.agg(F.max("payload_bytes")).first()[0] or 0
     records = resolved.select(record_text(date).alias("value"))
-    records.write.option("lineSep", "\n").option("compression", "gzip").text(path)
+    records.write.option("lineSep", "\n").option("compression", "gzip").option(
+        "maxRecordsPerFile", max(1, ARCHIVE_BYTES // (largest + HEADER_BYTES))
+    ).text(path)
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -130,9 +145,9 @@ def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Records of all archives under a path. A file is parsed whole in one task; its size
-    is that of a shuffle partition of the writer."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    """Records of all archives under a path. A file is parsed whole in one task; the writer
+    bounds its size. An Arrow batch holds few bytes beside a large archive."""
+    bounded_batches(spark)
     names = [part.split()[0] for part in READ_SCHEMA.split(", ")]
 
     def parse(batches):

@@ -7,20 +7,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from hirelens.llm import lexical, periodic_runs, pieces
 
 MODEL = pieces.model_path(None)
 
 
-@pytest.fixture
-def dotted(awkward):
-    """The awkward rows with a dotted and a map column."""
-    return awkward.withColumn("meta.url", F.lit("x")).withColumn(
-        "tags", F.create_map(F.lit("a"), F.lit(1)))
-
-
 # --- lexical search -------------------------------------------------------------
 
 
