@@ -96,19 +96,17 @@ def mart_top_skills(spark, d):
     return _as_double(_mart(spark, d), "demand_percentage")
 
 
-@query("""SELECT count(DISTINCT j.job_id) AS total_jobs,
-       count(DISTINCT j.company_name) AS total_companies,
-       count(DISTINCT j.source_name) AS total_sources,
-       count(DISTINCT a.detected_role) AS total_detected_roles,
-       count(DISTINCT CASE WHEN a.is_excluded_from_analysis = false THEN j.job_id END)
-           AS analyzable_jobs,
-       count(DISTINCT CASE WHEN a.is_excluded_from_analysis = true THEN j.job_id END)
-           AS excluded_jobs,
-       (SELECT count(*) FROM (SELECT DISTINCT skill_id FROM skills)) AS total_skills,
-       (SELECT count(*) FROM (SELECT DISTINCT job_id, skill_id FROM links))
-           AS total_job_skill_links
-FROM jobs j LEFT JOIN part_analysis a ON j.job_id = a.job_id""",
-       "jobs", "part_analysis", "skills", "links")
+@query(f"""SELECT * FROM
+  (SELECT count(*) AS total_jobs, count(DISTINCT o_custkey) AS total_companies FROM orders),
+  (SELECT count(*) AS total_sources FROM nation WHERE n_nationkey IN
+     (SELECT c_nationkey FROM customer SEMI JOIN orders ON c_custkey = o_custkey)),
+  (SELECT count(DISTINCT o_orderpriority) AS total_detected_roles,
+          count(*) FILTER (o_orderstatus <> 'P') AS analyzable_jobs,
+          count(*) FILTER (o_orderstatus = 'P') AS excluded_jobs
+   FROM orders WHERE o_orderdate < TIMESTAMP '{b.ANALYZED_UNTIL} 00:00:00'),
+  (SELECT count(*) AS total_skills FROM part),
+  (SELECT count(*) AS total_job_skill_links
+   FROM (SELECT l_orderkey, l_partkey FROM lineitem GROUP BY ALL))""")
 def mart_market_overview(spark, d):
     return marts.market_overview(*_inputs(spark, d))
 

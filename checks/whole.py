@@ -18,13 +18,13 @@ from hirelens.operators import bronze as B
 from hirelens.operators import pages as P
 from hirelens.operators import silver as S
 from hirelens.operators import skills as K
-from hirelens.plans import explore, incremental, skill_sets as sets
+from hirelens.plans import explore, incremental, search_index, skill_sets as sets
 from hirelens.session import scratch_path, stage
 from hirelens.sources import raw_records as raw_files
 from hirelens.sources.tables import SILVER_SCAN, scan
 
 from checks import bridge as b
-from checks import docs, vocab, web
+from checks import docs, star, vocab, web
 from checks.bridge import quote, sql, sql_clean, sql_collapse
 
 QUERIES, SQL = {}, {}
@@ -379,6 +379,43 @@ def skill_sets(spark, d):
     return sets.named_sets(found, b.skills(spark, d))
 
 
+# --- search index -------------------------------------------------------------------
+
+b.VIEWS["terms"] = """
+SELECT DISTINCT lower(trim(term)) AS term FROM (
+  SELECT n_name AS term FROM nation UNION ALL SELECT r_name FROM region
+  UNION ALL SELECT substr(n_name, 2, 2) FROM nation UNION ALL SELECT substr(r_name, 1, 1) FROM region
+  UNION ALL SELECT DISTINCT substr(p_name, 2, 7) FROM part
+  UNION ALL SELECT DISTINCT 'é' || lang FROM documents UNION ALL SELECT '' FROM region)"""
+
+
+def _terms(spark, d):
+    nation, region = b.table(spark, d, "nation"), b.table(spark, d, "region")
+    out = nation.select(F.col("n_name").alias("term"))
+    for more in (
+        region.select("r_name"), nation.select(F.substring("n_name", 2, 2)),
+        region.select(F.substring("r_name", 1, 1)),
+        b.table(spark, d, "part").select(F.substring("p_name", 2, 7)),
+        b.texts(spark, d, "documents", "lang").select(F.concat(F.lit("é"), "lang")),
+        region.select(F.lit("")),
+    ):
+        out = out.unionAll(more)
+    return out
+
+
+@query("""SELECT t.term, e.job_id FROM explorer e JOIN terms t
+ON contains(lower(coalesce(e.job_title, '')), t.term)
+OR contains(lower(coalesce(e.company_name, '')), t.term)
+OR contains(lower(coalesce(e.location_text, '')), t.term)
+OR contains(lower(coalesce(e.skill_names, '')), t.term)""", "explorer", "terms")
+def explorer_search(spark, d):
+    """Names, parts of names, short, empty and non-ASCII terms looked up in the index."""
+    mart = stage(star._explorer(spark, d), "explorer")
+    path = scratch_path(spark, "search-index")
+    search_index.write_search_index(mart, path)
+    return search_index.search(spark, path, mart, _terms(spark, d))
+
+
 # --- incremental refresh ------------------------------------------------------------
 
 SEEDS = {k.lower(): v for k, v in V.CANONICAL_SKILLS.items()}

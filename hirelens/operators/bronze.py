@@ -165,22 +165,23 @@ def single_source(records: DataFrame) -> str:
 def duplicate_profile(records: DataFrame) -> DataFrame:
     """Records against distinct keys and distinct payload fingerprints.
 
-    The two distinct counts are separate narrow aggregates: a joint one would
-    write every record twice before the shuffle.
+    Payloads are parsed and hashed in one pass. Every record gives its key and its hash as two
+    short rows, merged per task before they meet; a missing key counts as one key.
     """
     keyed = with_content_hash(with_keys(records)).select("source_job_id", "content_hash")
-    total = keyed.agg(F.count("*").alias("total_records"))
-    keys = keyed.select("source_job_id").distinct().agg(
-        F.count("*").alias("distinct_job_ids")
+    values = F.array(
+        F.struct(F.lit("key").alias("kind"), F.col("source_job_id").alias("value")),
+        F.struct(F.lit("hash").alias("kind"), F.col("content_hash").alias("value")),
     )
-    hashes = keyed.select("content_hash").distinct().agg(
-        F.count("*").alias("distinct_hashes")
+    merged = (
+        keyed.select(F.inline(values)).groupBy("kind", "value")
+        .agg(F.count("*").alias("n")).agg(
+            F.coalesce(F.sum(F.when(F.col("kind") == "key", F.col("n"))), F.lit(0))
+            .alias("total_records"),
+            F.count_if(F.col("kind") == "key").alias("distinct_job_ids"),
+            F.count_if(F.col("kind") == "hash").alias("distinct_hashes"),
+        )
     )
-    rows = total.unionByName(keys, allowMissingColumns=True).unionByName(
-        hashes, allowMissingColumns=True
-    )
-    merged = rows.agg(*[F.max(c).alias(c) for c in
-                        ("total_records", "distinct_job_ids", "distinct_hashes")])
     return merged.withColumns(
         {
             "duplicate_job_ids": F.col("total_records") != F.col("distinct_job_ids"),

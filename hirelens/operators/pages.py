@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from html.entities import name2codepoint
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from hirelens import fixed_values as V
 from hirelens import schemas
 from hirelens.functions import page_reader
+from hirelens.functions.literals import literal_map
 from hirelens.functions.payload import page_fingerprint
 from hirelens.functions.text import contains_any, contains_ignoring_case
 from hirelens.functions.urls import absolute_url, direct_url, job_id, job_url
@@ -49,21 +51,36 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.nullif(decode_entities(value), F.lit(""))
 
 
+def _after(text: Column, place) -> Column:
+    """The text from a place (from 1) to its end."""
+    return F.substring(text, place, F.length(text))
+
+
+ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
 def decode_entities(value: Column) -> Column:
-    """Named and numeric entities of printable ASCII characters, which is what addresses and
-    class names hold; others stay as they are. The ampersand comes last."""
-    named = {"quot": '"', "apos": "'", "lt": "<", "gt": ">", "sol": "/", "colon": ":"}
-    pairs = [(f"&(?:{n}|#0*{ord(c)}|#[xX]0*(?i:{ord(c):x}));", c) for n, c in named.items()]
-    pairs += [
-        (f"&#(?:0*{n}|[xX]0*(?i:{n:x}));", chr(n))
-        for n in range(33, 127) if chr(n) not in [*named.values(), "&"]
-    ]
-    decoded = value
-    for pattern, character in pairs:
-        shown = "\\" + character if character in "\\$" else character
-        decoded = F.regexp_replace(decoded, pattern, shown)
-    decoded = F.when(value.contains("&"), decoded).otherwise(value)
-    return F.regexp_replace(decoded, "&(?:amp|#0*38|#[xX]0*26);", "&")
+    """Named and numeric entities that end with a semicolon, each once; others, and numbers of
+    no character, stay as they are. The text is cut at its ampersands."""
+    characters = literal_map({name: chr(n) for name, n in name2codepoint.items()} | {"apos": "'"})
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, ENTITY, 1)
+        number = F.when(
+            F.lower(F.substring(name, 1, 2)) == "#x", F.conv(_after(name, 3), 16, 10)
+        ).when(name.startswith("#"), _after(name, 2)).cast("int")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        code = F.unhex(F.lpad(F.hex(number.cast("bigint")), 8, "0"))
+        character = F.when(valid, F.decode(code, "UTF-32")).when(
+            number.isNull(), F.try_element_at(characters, name))
+        rest = _after(part, F.length(name) + 2)
+        return F.when(character.isNull(), F.concat(F.lit("&"), part)).otherwise(
+            F.concat(character, rest))
+
+    parts = F.split(value, "&")
+    rest = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
+    whole = F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))
+    return F.when(value.contains("&"), whole).otherwise(value)
 
 
 def anchors(html: Column) -> Column:

@@ -167,40 +167,54 @@ def market_overview(
 ) -> DataFrame:
     """One row of market totals.
 
-    Jobs meet their analysis on job_id once; the per-job flags are folded in
-    the same partitioning, so no distinct count over job ids has to expand and
-    reshuffle the rows. Low-cardinality distinct counts read one column each.
+    Jobs meet their analysis on job_id once, and everything about them is counted in that one
+    pass: a job's flags and its distinct names stay with the job, then each job gives a row of
+    its flags and one per name, merged per task before the names meet. Skills and links are
+    read once each.
     """
-    joined = jobs.select("job_id").join(
+    joined = jobs.select("job_id", "company_name", "source_name").join(
         analysis.select("job_id", "detected_role", "is_excluded_from_analysis"), "job_id", "left"
     )
     flag = F.col("is_excluded_from_analysis")
+    names = {"company": "company_name", "source": "source_name", "role": "detected_role"}
     per_job = joined.groupBy("job_id").agg(
-        F.max((flag == F.lit(False)).cast("int")).alias("_in"),
-        F.max((flag == F.lit(True)).cast("int")).alias("_out"),
+        F.coalesce(F.max((flag == F.lit(False)).cast("int")), F.lit(0)).alias("_in"),
+        F.coalesce(F.max((flag == F.lit(True)).cast("int")), F.lit(0)).alias("_out"),
+        *[F.collect_set(column).alias(kind) for kind, column in names.items()],
     )
-    job_totals = per_job.agg(
-        F.count("job_id").alias("total_jobs"),
-        F.coalesce(F.sum("_in"), F.lit(0)).alias("analyzable_jobs"),
-        F.coalesce(F.sum("_out"), F.lit(0)).alias("excluded_jobs"),
+
+    def entry(kind: str, name: Column, inside, outside) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), name.alias("name"), inside.alias("inside"),
+            outside.alias("outside"))
+
+    none, zero = F.lit(None).cast("string"), F.lit(0)
+    own = F.array(F.when(
+        F.col("job_id").isNotNull(), entry("job", none, F.col("_in"), F.col("_out"))))
+    rows = F.concat(F.array_compact(own), *[
+        F.transform(kind, lambda name, kind=kind: entry(kind, name, zero, zero)) for kind in names
+    ])
+    counted = per_job.select(F.inline(rows)).groupBy("kind", "name").agg(
+        F.count("*").alias("n"), F.sum("inside").alias("inside"), F.sum("outside").alias("outside")
     )
 
-    def distinct_count(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-        return df.select(*columns).distinct().agg(F.count(columns[0]).alias(name))
+    def number(kind: str, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(column))), zero)
 
+    totals = counted.agg(
+        number("job", "n").alias("total_jobs"),
+        F.count_if(F.col("kind") == "company").alias("total_companies"),
+        F.count_if(F.col("kind") == "source").alias("total_sources"),
+        F.count_if(F.col("kind") == "role").alias("total_detected_roles"),
+        number("job", "inside").alias("analyzable_jobs"),
+        number("job", "outside").alias("excluded_jobs"),
+    )
     pair = links.select("job_id", "skill_id").distinct().agg(
         F.count("*").alias("total_job_skill_links")
     )
     ids = skills.select("skill_id").distinct().agg(F.count("*").alias("total_skills"))
-    one_row_frames = [
-        distinct_count(jobs, ["company_name"], "total_companies"),
-        distinct_count(jobs, ["source_name"], "total_sources"),
-        distinct_count(joined, ["detected_role"], "total_detected_roles"),
-        ids,
-        pair,
-    ]
-    rows = job_totals
-    for frame in one_row_frames:
+    rows = totals
+    for frame in (ids, pair):
         rows = rows.unionByName(frame, allowMissingColumns=True)
     return rows.agg(
         *[

@@ -39,3 +39,15 @@ BRONZE_SCAN = [
     "scraped_at", "raw_payload",
 ]
 SILVER_SCAN = ["job_id", "job_title", "description_text", "job_function", "industries"]
+
+
+def write_keys(df: DataFrame, table: str, keys: list[str], buckets: int) -> DataFrame:
+    """Store known keys in the warehouse, bucketed and sorted by the keys.
+
+    A join of incoming rows with the stored keys then moves the incoming side only: the
+    stored buckets are read where they lie. Take as many buckets as the shuffle has partitions
+    or more, so that a bucket fits into a task's memory.
+    """
+    stored = df.select(*keys).distinct()
+    stored.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return df.sparkSession.table(table)
