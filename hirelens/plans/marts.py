@@ -191,9 +191,11 @@ def market_overview(
     none, zero = F.lit(None).cast("string"), F.lit(0)
     own = F.array(F.when(
         F.col("job_id").isNotNull(), entry("job", none, F.col("_in"), F.col("_out"))))
-    rows = F.concat(F.array_compact(own), *[
-        F.transform(kind, lambda name, kind=kind: entry(kind, name, zero, zero)) for kind in names
-    ])
+
+    def named(kind: str) -> Column:
+        return F.transform(kind, lambda name: entry(kind, name, zero, zero))
+
+    rows = F.concat(F.array_compact(own), *map(named, names))
     counted = per_job.select(F.inline(rows)).groupBy("kind", "name").agg(
         F.count("*").alias("n"), F.sum("inside").alias("inside"), F.sum("outside").alias("outside")
     )
