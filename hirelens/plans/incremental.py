@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelens import fixed_values as V
 from hirelens import schemas
 from hirelens.operators import analysis as A
 from hirelens.operators import bronze as B
@@ -64,6 +65,8 @@ STORED = {
 
 @dataclass
 class ChangeResult:
+    """What a change did. `checks` are those over the changed jobs and the marts, lazily."""
+
     version: int
     changed_jobs: int
     tables: dict[str, DataFrame]
@@ -82,10 +85,6 @@ def ledger(spark: SparkSession, root: str) -> DataFrame:
     return B.latest_runs(read_or_empty(spark, f"{root}/pipeline_runs", schemas.PIPELINE_RUNS))
 
 
-def _raw(spark: SparkSession, root: str) -> DataFrame:
-    return read_or_empty(spark, f"{root}/raw_job_postings", schemas.RAW_JOB_POSTINGS)
-
-
 def closed_runs(spark: SparkSession, root: str, after: int = 0) -> list[int]:
     """Numbers of the runs that count, those after a number."""
     runs = ledger(spark, root).filter(
@@ -94,9 +93,13 @@ def closed_runs(spark: SparkSession, root: str, after: int = 0) -> list[int]:
 
 
 def raw_rows(spark: SparkSession, root: str, after: int = 0) -> DataFrame:
-    """Raw rows of the runs that count; folders of other runs are not read."""
-    runs = closed_runs(spark, root, after)
-    return _raw(spark, root).filter(F.col("pipeline_run_id").isin(*runs))
+    """Raw rows of the runs that count; folders of other runs are neither listed nor read."""
+    folder = f"{root}/raw_job_postings"
+    paths = [f"{folder}/pipeline_run_id={n}" for n in closed_runs(spark, root, after)]
+    if not paths:
+        return spark.createDataFrame([], schemas.RAW_JOB_POSTINGS)
+    reader = spark.read.schema(schemas.RAW_JOB_POSTINGS).option("basePath", folder)
+    return reader.parquet(*paths)
 
 
 def rejected_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -196,35 +199,42 @@ def job_measures(
     n). Sums over any split of the jobs add up."""
     none, no_id = F.lit(None).cast("string"), F.lit(None).cast("bigint")
 
-    def counted(df: DataFrame, measure: str, name=none, skill_id=no_id) -> DataFrame:
-        shaped = df.select(
+    def entry(measure: str, name=none, skill_id=no_id) -> F.Column:
+        return F.struct(
             F.lit(measure).alias("measure"), name.alias("name"), skill_id.alias("skill_id"))
-        return shaped.groupBy("measure", "name", "skill_id").agg(F.count("*").alias("n"))
 
-    judged = jobs.select("job_id").join(analysis, "job_id", "left")
-    eligible = M.eligible_jobs(jobs, analysis)
+    def counted(df: DataFrame, *entries) -> DataFrame:
+        """How often each entry occurs; a row gives those that are not null."""
+        rows = df.select(F.inline(F.array_compact(F.array(*entries))))
+        return rows.groupBy("measure", "name", "skill_id").agg(F.count("*").alias("n"))
+
+    flag, role = F.col("is_excluded_from_analysis"), F.col("detected_role")
+    target = (flag == F.lit(False)) & ~role.isin(V.NON_TARGET_ROLES)
+    judged = jobs.select("job_id", "company_name", "source_name").join(
+        analysis.select("job_id", "detected_role", "is_excluded_from_analysis"), "job_id", "left")
+    company, source = F.col("company_name"), F.col("source_name")
+    per_job = counted(
+        judged,
+        entry("jobs"),
+        F.when(company.isNotNull(), entry("company", company)),
+        F.when(source.isNotNull(), entry("source", source)),
+        F.when(role.isNotNull(), entry("role", role)),
+        F.when(flag == F.lit(False), entry("analyzable")),
+        F.when(flag == F.lit(True), entry("excluded")),
+        F.when(target, entry("role_total", role)),
+    )
     pairs = links.select("job_id", "skill_id").distinct()
+    skill = F.col("skill_id")
+    per_link = counted(
+        pairs.join(judged.select("job_id", "detected_role", "is_excluded_from_analysis"),
+                   "job_id", "left"),
+        entry("links"), entry("skill", skill_id=skill),
+        F.when(target, entry("role_skill", role, skill)),
+    )
     categories = pairs.join(skills.select("skill_id", "skill_category"), "skill_id").select(
         "job_id", "skill_category").distinct()
-    flag = F.col("is_excluded_from_analysis")
-    frames = [
-        counted(jobs, "jobs"),
-        counted(jobs.filter("company_name is not null"), "company", F.col("company_name")),
-        counted(jobs.filter("source_name is not null"), "source", F.col("source_name")),
-        counted(judged.filter("detected_role is not null"), "role", F.col("detected_role")),
-        counted(judged.filter(flag == F.lit(False)), "analyzable"),
-        counted(judged.filter(flag == F.lit(True)), "excluded"),
-        counted(pairs, "links"),
-        counted(pairs, "skill", skill_id=F.col("skill_id")),
-        counted(categories, "category", F.col("skill_category")),
-        counted(eligible, "role_total", F.col("detected_role")),
-        counted(eligible.join(pairs, "job_id"), "role_skill", F.col("detected_role"),
-                F.col("skill_id")),
-    ]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    per_category = counted(categories, entry("category", F.col("skill_category")))
+    return per_job.unionByName(per_link).unionByName(per_category)
 
 
 def move_counts(store: BucketStore, less: DataFrame, more: DataFrame) -> None:
@@ -385,12 +395,11 @@ def apply_changes(
         [c for c in EXPLORER.names if c != "job_id"],
     )
     marts = {
-        name: stage(df.withColumn("built_at", now), name)
+        name: df.withColumn("built_at", now)
         for name, df in marts_of(store.read("mart_counts"), skills).items()
     }
     views = M.staging(dict(zip(tables, new, strict=True)) | {"skills": skills})
-    checks = stage(
-        Q.run_checks({**views, **marts, "mart_job_explorer": explorer}), "checks")
+    checks = Q.run_checks({**views, **marts, "mart_job_explorer": explorer})
 
     given = fresh.agg(F.max("job_id")).first()[0]
     store.commit({"run": max(runs, default=done), "job_id": given or last_id})
