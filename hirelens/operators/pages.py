@@ -64,22 +64,29 @@ def decode_entities(value: Column) -> Column:
     no character, stay as they are. The text is cut at its ampersands."""
     characters = literal_map({name: chr(n) for name, n in name2codepoint.items()} | {"apos": "'"})
 
-    def decoded(part: Column) -> Column:
-        name = F.regexp_extract(part, ENTITY, 1)
-        number = F.when(
-            F.lower(F.substring(name, 1, 2)) == "#x", F.conv(_after(name, 3), 16, 10)
-        ).when(name.startswith("#"), _after(name, 2)).cast("int")
+    def named(part: Column) -> Column:
+        return F.struct(part.alias("part"), F.regexp_extract(part, ENTITY, 1).alias("name"))
+
+    def numbered(at: Column) -> Column:
+        name = at["name"]
+        number = F.when(F.lower(name).startswith("#x"), F.conv(_after(name, 3), 16, 10)).when(
+            name.startswith("#"), _after(name, 2))
+        return F.struct(at["part"].alias("part"), name.alias("name"),
+                        number.cast("bigint").alias("number"))
+
+    def shown(at: Column) -> Column:
+        number = at["number"]
         valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-        code = F.unhex(F.lpad(F.hex(number.cast("bigint")), 8, "0"))
+        code = F.unhex(F.lpad(F.hex(number), 8, "0"))
         character = F.when(valid, F.decode(code, "UTF-32")).when(
-            number.isNull(), F.try_element_at(characters, name))
-        rest = _after(part, F.length(name) + 2)
-        return F.when(character.isNull(), F.concat(F.lit("&"), part)).otherwise(
-            F.concat(character, rest))
-
-    parts = F.split(value, "&")
-    rest = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
-    whole = F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))
+            number.isNull(), F.try_element_at(characters, at["name"]))
+        rest = _after(at["part"], F.length(at["name"]) + 2)
+        return F.coalesce(F.concat(character, rest), F.concat(F.lit("&"), at["part"]))
+
+    # step by step, so that no step is written out, and done, more than once
+    parts = F.slice(F.split(value, "&"), F.lit(2), F.length(value) + 1)
+    decoded = F.transform(F.transform(F.transform(parts, named), numbered), shown)
+    whole = F.concat(F.substring_index(value, "&", 1), F.array_join(decoded, ""))
     return F.when(value.contains("&"), whole).otherwise(value)
 
 
@@ -138,17 +145,22 @@ def page_novelty(
     pages without new ones, and whether a crawl would have reached the page.
 
     ``pages`` has (search, page), page numbers from 0; ``links`` adds url. The
-    first page of a URL comes from an aggregate; the windows run over page
+    pages of a URL come from an aggregate; the windows run over page
     counts, at most ``max_pages`` rows per search.
     """
     grid = pages.select("search", "page").filter(F.col("page") < max_pages).distinct()
-    urls = links.select("search", "page", "url").filter(F.col("page") < max_pages).distinct()
-    found = urls.groupBy("search", "page").agg(F.count("*").alias("_urls"))
-    firsts = urls.groupBy("search", "url").agg(F.min("page").alias("page"))
-    fresh = firsts.groupBy("search", "page").agg(F.count("*").alias("_new"))
+    # a URL's pages are at most `max_pages` numbers: the links are read once
+    urls = links.select("search", "page", "url").filter(F.col("page") < max_pages)
+    seen = urls.groupBy("search", "url").agg(F.collect_set("page").alias("_pages"))
+    found = (
+        seen.select("search", F.array_min("_pages").alias("_first"),
+                    F.explode("_pages").alias("page"))
+        .groupBy("search", "page")
+        .agg(F.count("*").alias("_urls"),
+             F.count_if(F.col("page") == F.col("_first")).alias("_new"))
+    )
     counts = (
         grid.join(found, ["search", "page"], "left")
-        .join(fresh, ["search", "page"], "left")
         .select(
             "search",
             "page",
