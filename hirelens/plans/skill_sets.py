@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.session import stage
 
-_BETWEEN = "\x1f"
-
 
 def skill_sets(
     eligible: DataFrame, links: DataFrame, support: int, largest: int | None = None
@@ -17,36 +14,47 @@ def skill_sets(
     """Sets of two or more skills that at least `support` jobs of a role ask for together:
     detected_role, skill_ids (ascending), skills (how many), jobs (how many ask for all).
 
-    Sets grow from their most frequent skills on prefix trees: each task holds the trees of
-    the skills dealt to it, so no pair is made that is not frequent. A skill counts as another
-    one in each role, which keeps the roles apart in one pass over all jobs. With `largest`
-    only sets of up to so many skills are returned. Jobs without a role or skill have no part;
-    repeated links count once; without jobs there are no sets.
+    Sets grow level by level. A job's frequent sets of one size are stored as rows; two of them
+    that differ in their last skill only make one of the next size, so a set is counted only
+    where all but its last or second-last skill is frequent. Counting is a grouped aggregate:
+    neither the skills nor the sets pass through the driver. With `largest` only sets of up to
+    so many skills are returned. Jobs without a role or skill have no part; repeated links
+    count once; without jobs there are no sets.
     """
     if support < 1:
         raise ValueError("support is a number of jobs")
     own = eligible.filter("detected_role is not null").select("job_id", "detected_role").distinct()
-    item = F.concat_ws(_BETWEEN, "detected_role", F.col("skill_id").cast("string"))
-    baskets = stage(
-        own.join(links.select("job_id", "skill_id").filter("skill_id is not null"), "job_id")
-        .groupBy("job_id").agg(F.collect_set(item).alias("items")),
-        "baskets",
-    )
-    jobs = baskets.count()
-    if not jobs:
+    asked = links.select("job_id", F.col("skill_id").cast("bigint").alias("last")).filter(
+        "last is not null").distinct()
+    held = own.join(asked, "job_id").select(
+        "detected_role", "job_id", F.array().cast("array<bigint>").alias("start"), "last")
+    sets, size = [], 1
+    while True:
+        held = stage(held, f"sets-held-{size}")
+        key = ["detected_role", "start", "last"]
+        frequent = stage(
+            held.groupBy(*key).agg(F.count("*").alias("jobs")).filter(F.col("jobs") >= support),
+            f"sets-{size}")
+        if size > 1:
+            ids = F.concat("start", F.array("last"))
+            sets.append(frequent.select(
+                "detected_role", ids.alias("skill_ids"), F.lit(size).alias("skills"), "jobs"))
+        if size == largest or frequent.isEmpty():
+            break
+        kept = held.join(frequent.select(*key), key, "left_semi")
+        one, other = kept.alias("one"), kept.select(
+            "detected_role", "job_id", "start", F.col("last").alias("next")).alias("other")
+        held = one.join(other, ["detected_role", "job_id", "start"]).filter("last < next").select(
+            "detected_role", "job_id",
+            F.concat("start", F.array("last")).alias("start"), F.col("next").alias("last"))
+        size += 1
+    if not sets:
         return own.sparkSession.createDataFrame(
             [], "detected_role string, skill_ids array<bigint>, skills int, jobs bigint")
-    # half a job less, so that rounding of the share never asks for one more
-    model = FPGrowth(itemsCol="items", minSupport=max(support - 0.5, 0) / jobs).fit(baskets)
-    ids = F.array_sort(F.transform(
-        "items", lambda i: F.substring_index(i, _BETWEEN, -1).cast("bigint")))
-    sets = model.freqItemsets.filter(F.size("items") > 1)
-    if largest is not None:
-        sets = sets.filter(F.size("items") <= largest)
-    return sets.select(
-        F.substring_index(F.get("items", F.lit(0)), _BETWEEN, 1).alias("detected_role"),
-        ids.alias("skill_ids"), F.size("items").alias("skills"), F.col("freq").alias("jobs"),
-    )
+    out = sets[0]
+    for more in sets[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def named_sets(sets: DataFrame, skills: DataFrame) -> DataFrame:
