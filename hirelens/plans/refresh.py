@@ -83,7 +83,7 @@ def extract_from_responses(responses: DataFrame):
 
     def extract(todo: DataFrame, aliases: DataFrame) -> tuple[DataFrame, str]:
         parsed = K.parse_responses(responses.join(todo.select("job_id"), "job_id", "left_semi"))
-        return K.deduplicate(K.response_items(parsed)), "ai"
+        return K.deduplicate(stage(K.response_lists(parsed), "lists")), "ai"
 
     return extract
 
