@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hirelens.operators.skills import repeated_keys
 from hirelens.session import stage
 
 COLUMNS = ("job_title", "company_name", "location_text", "skill_names")
@@ -38,6 +39,12 @@ def _pairs(text: Column) -> Column:
     return F.when(others == 0, words).otherwise(both)
 
 
+def _single(explorer: DataFrame) -> DataFrame:
+    """Jobs with one row. Searches have always left out jobs whose rows repeat."""
+    repeated = repeated_keys(explorer, "job_id")
+    return explorer.join(repeated, F.col("job_id").eqNullSafe(F.col("_repeated")), "left_anti")
+
+
 def postings(explorer: DataFrame) -> DataFrame:
     """(pair, job_id), each once a row: all neighbouring words of the searched columns."""
     every = F.array_distinct(F.concat(*[_pairs(_searched(c)) for c in COLUMNS]))
@@ -54,7 +61,7 @@ def write_search_index(explorer: DataFrame, path: str) -> None:
     """Write the postings in order of their pairs and the pairs in order of their runs, so that
     a search reads the files it needs only, and how many pairs each run has. A frequent pair
     or run is spread over files."""
-    rows = postings(explorer)
+    rows = postings(_single(explorer))
     rows.repartitionByRange("pair", "job_id").sortWithinPartitions("pair", "job_id").write.parquet(
         f"{path}/postings")
     read = explorer.sparkSession.read
@@ -120,10 +127,11 @@ def search(
         .groupBy("term", "job_id", "_asked").agg(F.count("*").alias("_found"))
         .filter("_found = _asked").select("term", "job_id")
     )
-    shown = explorer.select("job_id", *[_searched(c).alias(c) for c in COLUMNS])
+    single = _single(explorer)
+    shown = single.select("job_id", *[_searched(c).alias(c) for c in COLUMNS])
     test = F.lit(False)
     for column in COLUMNS:
         test = test | F.contains(F.col(column), F.col("term"))
     checked = several.join(shown, "job_id").filter(test).select("term", "job_id").distinct()
-    blank = wanted.filter("term = ''").crossJoin(explorer.select("job_id").distinct())
+    blank = wanted.filter("term = ''").crossJoin(single.select("job_id"))
     return done.unionByName(checked).unionByName(blank.select("term", "job_id"))
