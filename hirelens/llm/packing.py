@@ -23,7 +23,7 @@ from hirelens.llm.common import bounded_batches, keep, learned, ranked, slices_f
 
 MOST_TOKENS = 4096
 END_ID = 2
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
 PIECES = (
     "row bigint, doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 )
