@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from hirelens.operators import keyed, skills
 from hirelens.plans import search_index, skill_sets
+from hirelens.session import configure
 
 
 def test_search_index_holds_a_job_once_a_word_at_most(spark, tmp_path):
@@ -64,3 +67,9 @@ def test_first_rows_of_a_key_need_no_sort(spark):
         ["Row(k='a', job_id=None)", "Row(k='b', job_id=1)", "Row(k=None, job_id=None)"])
     plan = df.sparkSession.createDataFrame(rows, df.schema).groupBy("k").min("job_id")
     assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_layers_are_packed_tightly(spark, tmp_path):
+    path = str(tmp_path / "t")
+    configure(spark).range(5).write.parquet(path)
+    assert any(".zstd." in name for name in os.listdir(path))
