@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,14 +23,19 @@ from hirelens.llm.common import bounded_batches, keep, learned, ranked, slices_f
 
 MOST_TOKENS = 4096
 END_ID = 2
-CACHED_WORDS = 100_000
+CACHED_PIECES = 100_000
+BATCH_ROWS = 4000
 PIECES = (
     "row bigint, doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 )
 
 
-# fixed values: the vocabulary's cut of a lower-case word into pieces that it merges apart
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+# fixed values: the vocabulary's cut of a lower-case Latin-1 word into pieces that it merges
+# apart; the letters and numbers are those of the classes L and N
+PIECE = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+    r"|[^\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+"
+)
 PLAIN = re.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
 
 
@@ -42,51 +47,73 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in printable else next(others)) for b in range(256)}
 
 
-def _encoder(path: str):
-    """Token ids of whole texts as little-endian unsigned 32-bit numbers.
+class Remembered(dict):
+    """What `learn` returns for a key, remembered for at most twice `most` keys: when `most`
+    are held they become the older ones, and an older key is held again once it is asked for.
+    So keys that keep coming stay, and what comes once goes."""
+
+    def __init__(self, learn: Callable[[str], bytes], most: int):
+        self.learn, self.most, self.older = learn, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.learn(key)
+        if len(self) >= self.most:
+            self.older = self.copy()
+            self.clear()
+        self[key] = found
+        return found
+
+
+def _encoder(path: str, most: int = CACHED_PIECES):
+    """Token ids of the whole texts of an Arrow column: all ids, and where each text's end.
 
     The vocabulary drops white space and merges inside words only, so a text's ids are its
-    words' ids one after the other, and words and their pieces repeat: each worker remembers
-    a bounded number of them. Plain Latin-1 words go to the merges directly; anything else,
-    where normalising could matter, goes through the whole tokenizer.
+    words' ids one after the other. Each word of a batch is looked at once, however often it
+    comes there. Plain Latin-1 words are cut into lower-case pieces, which go to the merges
+    directly; anything else, where normalising could matter, goes through the whole
+    tokenizer. Each worker remembers a bounded number of pieces.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     merges, letters = tokenizer.model, _byte_letters()
-    known: dict[str, bytes] = {"": b""}
-
-    def merged(piece: str) -> bytes:
-        shown = piece
-        if not piece.isascii():
-            shown = piece.encode().decode("latin-1").translate(letters)
-        ids = [token.id for token in merges.tokenize(shown)]
-        return known.setdefault(piece, np.array(ids, "<u4").tobytes())
-
-    def learn(word: str) -> None:
+    numbers = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
+
+    def learn(piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha():
+            return b"".join([numbers[token.id] for token in merges.tokenize(piece)])
+        if not PLAIN.fullmatch(piece) or "<|" in piece:
+            ids = tokenizer.encode(piece, add_special_tokens=False).ids
+            return b"".join([numbers[i] for i in ids])
+        shown = piece.encode().decode("latin-1").translate(letters)
+        return b"".join([numbers[token.id] for token in merges.tokenize(shown)])
+
+    known = Remembered(learn, most)
+
+    def word_ids(word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return known[word.lower()]
         if not PLAIN.fullmatch(word) or "<|" in word:
-            ids = tokenizer.encode(word, add_special_tokens=False).ids
-            known[word] = np.array(ids, "<u4").tobytes()
-            return
+            return known[word]
         lower = word.lower()
-        pieces = [lower] if lower.isalpha() else PIECE.findall(lower)
-        known[word] = b"".join(
-            [known[p] if p in known else merged(p) for p in pieces]
-        )
-
-    def encode(text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        if len(known) > CACHED_WORDS:
-            known.clear()
-            known[""] = b""
-        for word in set(words):
-            if word not in known:
-                learn(word)
-        return b"".join(map(known.__getitem__, words))
+        if lower.isalpha():
+            return known[lower]
+        return b"".join([known[piece] for piece in PIECE.findall(lower)])
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = pc.dictionary_encode(words.flatten())
+        own = list(map(word_ids, coded.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        starts = np.cumsum(sizes) - sizes
+        codes = coded.indices.to_numpy()
+        counts = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        at = np.repeat(starts[codes] - ends[:-1], counts) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(own), "<u4")[at]
+        return ids, ends[np.cumsum(pc.list_value_length(words).to_numpy())]
 
     return encode
 
@@ -102,7 +129,7 @@ def tokenize(
     """Pieces of at most `most` ids of every document, with the ids as little-endian
     unsigned 32-bit numbers. A null text counts as empty; a document is its text's ids and
     `end_id`, so none is without a piece. `row` numbers the input rows of one run."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, rows=BATCH_ROWS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -111,10 +138,12 @@ def tokenize(
         encode = learned(tokenizer_path, lambda: _encoder(tokenizer_path))
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            out = []
-            for row, doc, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                ids = encode(body or "") + end
-                count = len(ids) // 4
+            out, begin = [], 0
+            every, ends = encode(batch.column(2))
+            rows, keys = (batch.column(i).to_pylist() for i in range(2))
+            for row, doc, stop in zip(rows, keys, ends.tolist()):
+                ids = every[begin:stop].tobytes() + end
+                begin, count = stop, len(ids) // 4
                 for start in range(0, count, most):
                     part = ids[4 * start:4 * (start + most)]
                     out.append((row, doc, start, len(part) // 4, part, count))

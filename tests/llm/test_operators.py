@@ -80,6 +80,56 @@ def test_patterns_use_the_histogram_exactly():
     assert packing.pack_patterns({}, 8) == []
 
 
+def test_packing_learns_frequent_words_once(monkeypatch):
+    """Words that keep coming are learned once, whatever comes between them."""
+    import pyarrow as pa
+
+    learned = Counter()
+
+    class Counted(packing.Remembered):
+        def __init__(self, learn, most):
+            def counted(piece):
+                learned[piece] += 1
+                return learn(piece)
+
+            super().__init__(counted, most)
+
+    monkeypatch.setattr(packing, "Remembered", Counted)
+    encode = packing._encoder(VOCABULARY, 100)
+    letters = [chr(97 + i // 26 % 26) + chr(97 + i % 26) for i in range(676)]
+    for at in range(0, 600, 20):
+        rare = " ".join("rare" + x for x in letters[at:at + 20])
+        ids, ends = encode(pa.array([f"The word, the WORD. {rare} the word", None]))
+        assert len(ids) == ends[0] == ends[1]
+    assert learned["the"] == learned["word"] == learned[","] == learned["."] == 1
+    assert max(learned.values()) == 1 and len(learned) == 600 + 4 + 1  # and the null text's
+    known = packing.Remembered(lambda key: key.encode(), 10)
+    for i in range(1000):
+        assert known[str(i)] == str(i).encode()
+        assert len(known) + len(known.older) <= 20
+
+
+def test_packing_ids_are_those_of_the_whole_tokenizer():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    draw = random.Random(7)
+    latin = [chr(i) for i in range(256)]
+    odd = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|", "H\u0331", "e\u0301", "\u212a", "\u0130",
+           "\u2019", "\u3000", "\u2028", "\x1c", "\x85", "\xa0", "'S", "'re", "''s", "\r\n"]
+    texts = ["", " ", "\n\t", None, "1234 \xbd\xb2 \xc0\xde\xdf"]
+    texts += ["".join(draw.choice(draw.choice([latin, odd, list("aAeE'st ,.")]))
+                      for _ in range(draw.randrange(1, 60))) for _ in range(1500)]
+    encode = packing._encoder(VOCABULARY, 50)
+    for at in range(0, len(texts), 300):
+        batch = texts[at:at + 300]
+        ids, ends = encode(pa.array(batch, pa.string()))
+        for text, begin, end in zip(batch, [0, *ends[:-1]], ends):
+            wanted = tokenizer.encode(text or "", add_special_tokens=False).ids
+            assert ids[begin:end].tolist() == wanted, text
+
+
 # --- sharding -------------------------------------------------------------------
 
 
